@@ -12,6 +12,7 @@ from tidegrid.llm import op1_line_frequency as op1
 from tidegrid.llm import op2_byte_cnn as op2
 from tidegrid.llm import op3_training_order as op3
 from tidegrid.llm import op4_importance as op4
+from tidegrid.llm import op5_hyperminhash as op5
 from tidegrid.llm import op6_bpe as op6
 from tidegrid.llm import op7_mixing as op7
 from tidegrid.llm import op9_media as op9
@@ -37,6 +38,10 @@ def op4_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.importance_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5.near_duplicates(documents(spark, sf_dir)).drop("row")
+
+
 def op6_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.encode_digest(documents(spark, sf_dir), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
@@ -55,7 +60,7 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
-        op1_line_frequency, op2_byte_cnn, op3_training_order, op4_importance_resampling, op6_chunked_bpe,
+        op1_line_frequency, op2_byte_cnn, op3_training_order, op4_importance_resampling, op5_hyperminhash, op6_chunked_bpe,
         op7_pareto_mixing, op9_media_columns, op10_rendezvous_shards,
     )
     return {f.__name__: f for f in own}

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +16,11 @@ BATCH_BYTES = 16 << 20
 
 
 def session(spark: SparkSession) -> SparkSession:
-    """Bound Arrow batches by rows and bytes."""
+    """Bound Arrow batches by rows and bytes, and let Python workers find this package where the driver found it."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, root]))
     for key, value in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)),
         ("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)),
