@@ -15,6 +15,7 @@ from tidegrid.llm import op4_importance as op4
 from tidegrid.llm import op5_hyperminhash as op5
 from tidegrid.llm import op6_bpe as op6
 from tidegrid.llm import op7_mixing as op7
+from tidegrid.llm import op8_suffix_dedup as op8
 from tidegrid.llm import op9_media as op9
 from tidegrid.llm import op10_rendezvous as op10
 from tidegrid.llm.runtime import documents, shared_dir
@@ -50,6 +51,10 @@ def op7_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.mix(documents(spark, sf_dir)).drop("copies")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.removal_digest(documents(spark, sf_dir))
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.text_media(documents(spark, sf_dir))
 
@@ -61,6 +66,6 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_line_frequency, op2_byte_cnn, op3_training_order, op4_importance_resampling, op5_hyperminhash, op6_chunked_bpe,
-        op7_pareto_mixing, op9_media_columns, op10_rendezvous_shards,
+        op7_pareto_mixing, op8_suffix_dedup, op9_media_columns, op10_rendezvous_shards,
     )
     return {f.__name__: f for f in own}
