@@ -241,3 +241,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return signed.select("doc_id", "row", "n", "hi", "lo").join(label, ["hi", "lo"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), kept.alias("kept"), "row"
     )
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The kept document of each component, with its own columns."""
+    slim = docs.select("doc_id", "text")
+    kept = near_duplicates(slim, percent).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")

@@ -278,8 +278,13 @@ def removal_digest(docs: DataFrame) -> DataFrame:
     return _with_spans(slim).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated bytes cut out of ``text``; fragments of a character at a cut are dropped, a null text stays null."""
+def without_repeats(docs: DataFrame, counted: str | None = None) -> DataFrame:
+    """``docs`` with the repeated bytes cut out of ``text``.
+
+    Fragments of a character at a cut are dropped; a null text stays null.
+    ``counted`` names a column of text lengths, which is set anew where a text
+    was cut.
+    """
     names = docs.columns
     at = names.index("text")
 
@@ -292,6 +297,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             ]
             cols = list(batch.columns[: len(names)])
             cols[at] = pa.array(texts, pa.string())
+            if counted in names:
+                c = names.index(counted)
+                cols[c] = pa.array([len(t) if a and t is not None else old for t, a, old in zip(texts, los, cols[c].to_pylist(), strict=True)], cols[c].type)
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in docs.schema.fields])
