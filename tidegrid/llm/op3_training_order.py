@@ -7,6 +7,10 @@ permutes the numbers to global slots.  Slots are dealt by range to shards of
 ``per_shard`` fixed-stride records, so slot s is record ``s % per_shard`` of
 shard ``s // per_shard``, and a reader can seek to any slot and resume.
 
+Records cross the shuffle zstd-compressed, with a dictionary trained on a
+bounded sample of excerpts, so that moving all sequences once costs less disk
+than the shards themselves.
+
 A record is the token count (two bytes, little-endian) and the ids, padded
 with zeros to ``length`` bytes.  A shard is written under a temporary name by
 one task and renamed, so a lost executor leaves no half shard.
@@ -25,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +40,8 @@ from tidegrid.llm.runtime import session
 LENGTH = 512
 PER_SHARD = 16_384
 ROUNDS = 6
+#: Bounds of the dictionary's training sample, and its size.
+SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 4096, 65_536
 
 
 def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -62,6 +69,16 @@ def _sizes(text: pa.Array) -> np.ndarray:
     return np.diff(K.buffers(text)[1])
 
 
+def record_dictionary(rows: DataFrame, length: int) -> bytes:
+    """A zstd dictionary for records, from a bounded sample; empty where the sample is too small for one."""
+    excerpts = [r["t"].encode() for r in rows.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).where("t is not null").limit(SAMPLE_ROWS).collect()]
+    records = [x[i : i + length] for x in excerpts for i in range(0, len(x), length)]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, records).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
 def training_order(docs: DataFrame, out: str, *, key: int = 3, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
     """Write the shards under the URI ``out``; one row per sequence: where it is and what it holds.
 
@@ -77,6 +94,7 @@ def training_order(docs: DataFrame, out: str, *, key: int = 3, length: int = LEN
         total = sum(int((-(-_sizes(b.column(1)) // length)).sum()) for b in batches)
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total], pa.int64())], names=["part", "n"])
 
+    dictionary = record_dictionary(rows, length)
     counts = dict(rows.mapInArrow(count, "part int, n long").collect())
     first, n = {}, 0
     for part in sorted(counts):
@@ -86,6 +104,7 @@ def training_order(docs: DataFrame, out: str, *, key: int = 3, length: int = LEN
     def cut(batches):
         part = TaskContext.get().partitionId()
         at = first.get(part, 0)
+        pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=True).compress
         for batch in batches:
             for i, j, raw, offs in K.chunks(batch.column(1)):
                 sizes = np.diff(offs)
@@ -95,9 +114,8 @@ def training_order(docs: DataFrame, out: str, *, key: int = 3, length: int = LEN
                 seq = np.arange(total[-1]) - total[row]
                 start = offs[:-1][row] + seq * length
                 stop = np.minimum(start + length, offs[1:][row])
-                # The sequences of a chunk lie end to end, so the chunk's bytes are their buffer.
-                bounds = np.concatenate([start, stop[-1:]]).astype(np.int32) if len(start) else np.zeros(1, np.int32)
-                body = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(raw))])
+                whole = raw.tobytes()
+                body = pa.array([pack(whole[a:b]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)], pa.binary())
                 slot = feistel(np.arange(at, at + len(start)), n, key) if len(start) else np.zeros(0, np.int64)
                 at += len(start)
                 ids = batch.column(0).slice(i, j - i).take(pa.array(row))
@@ -109,7 +127,7 @@ def training_order(docs: DataFrame, out: str, *, key: int = 3, length: int = LEN
             raise RuntimeError("the input's partitions changed between the two scans")
 
     def write(batches):
-        yield from _write_shards(batches, out, length, per_shard)
+        yield from _write_shards(batches, out, length, per_shard, dictionary)
 
     shards = max(1, -(-n // per_shard))
     ordered = (
@@ -119,11 +137,12 @@ def training_order(docs: DataFrame, out: str, *, key: int = 3, length: int = LEN
     return ordered.mapInArrow(write, "slot long, shard int, byte_offset long, doc_id long, seq int, n_tokens int, record_crc32 long")
 
 
-def _write_shards(batches: Iterator[pa.RecordBatch], out: str, length: int, per_shard: int) -> Iterator[pa.RecordBatch]:
+def _write_shards(batches: Iterator[pa.RecordBatch], out: str, length: int, per_shard: int, dictionary: bytes) -> Iterator[pa.RecordBatch]:
     fs, root = pafs.FileSystem.from_uri(out)
     fs.create_dir(root, recursive=True)
     stride = length + 2
     current, stream, temporary = None, None, ""
+    unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary)).decompress
 
     def close():
         if stream is not None:
@@ -132,8 +151,9 @@ def _write_shards(batches: Iterator[pa.RecordBatch], out: str, length: int, per_
 
     for batch in batches:
         shard = np.array(batch.column(0))
-        raw, offs = K.buffers(batch.column(4))
-        sizes = np.diff(offs)
+        bodies = [unpack(x) for x in batch.column(4).to_pylist()]
+        sizes = np.array([len(x) for x in bodies], np.int64)
+        raw = np.frombuffer(b"".join(bodies), np.uint8)
         records = np.zeros((len(sizes), stride), np.uint8)
         records[:, :2] = sizes.astype("<u2").view(np.uint8).reshape(-1, 2)
         inside = np.arange(length) < sizes[:, None]
