@@ -47,7 +47,7 @@ def gap_periods(
     found = found.where((F.col("elapsed_steps") >= least_elapsed) & _at_least("matching_steps", "elapsed_steps", occupancy))
     start = F.col("_first") - step
     return found.withColumn("episode_start", start).select(
-        *part, F.row_number().over(Window.partitionBy(*part).orderBy("episode_start")).alias("episode_id"), "episode_start", "episode_end", "elapsed_steps",
+        *part, F.row_number().over(Window.partitionBy(*part).orderBy("episode_start")).cast("long").alias("episode_id"), "episode_start", "episode_end", "elapsed_steps",
         "matching_steps", (F.col("elapsed_steps") - F.col("matching_steps")).alias("nonmatching_steps"),
         (F.col("matching_steps") / F.col("elapsed_steps")).alias("occupancy"), "longest_gap_steps",
     )
