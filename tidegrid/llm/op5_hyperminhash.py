@@ -8,7 +8,8 @@ bucket every member is paired with the bucket's least member.  Pairs are kept
 if their collision-corrected Jaccard estimate is within five standard errors
 of the threshold, and links are confirmed on full sets.  Components follow;
 in buckets that still hold several components the remaining pairs are
-compared too, in blocks, so links that miss the least member are not lost.
+compared too, in blocks and on full sets, so links that miss the least member
+are not lost.
 
 A pair at the threshold shares no band with probability (1 - 0.85^4)^20,
 about 4e-7, and falls below the estimate filter with about 3e-7.
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm import bloom
 from tidegrid.llm import kernels as K
 from tidegrid.llm.components import components
 from tidegrid.llm.runtime import release, session, staged
@@ -151,26 +153,65 @@ def _verifier(percent: int):
     return run
 
 
+def _shingle_sets(batches):
+    """(node, text) to (node, set): sorted shingle hashes as bytes."""
+    for batch in batches:
+        sets = []
+        for _, _, raw, offs in K.chunks(batch.column(1)):
+            keys, bounds = K.shingle_sets(raw, offs)
+            sets += [keys[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
+
+
+class Postings:
+    """Which of some sorted sets hold each element: intersection sizes of one set with all of them at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        every = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        order = np.argsort(every, kind="stable")
+        self.keys, self.owner, self.n = every[order], owner[order], len(sets)
+
+    def common(self, one: np.ndarray) -> np.ndarray:
+        first, last = np.searchsorted(self.keys, one, "left"), np.searchsorted(self.keys, one, "right")
+        count = last - first
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+        return np.bincount(self.owner[at], minlength=self.n)
+
+
 def _blocks(threshold: float, percent: int):
-    """Pairs of different components in one block pair whose estimate passes; their number is that of near pairs, not of all pairs."""
+    """Links between different components in one pair of blocks of a bucket.
+
+    Pairs whose estimate passes are confirmed on the full sets right here, one
+    member against all by postings, and only links leave the task.  A link
+    joins its two components, so pairs inside what is joined by then are
+    skipped: components are what the result needs.
+    """
 
     def run(key, table):
         table = table.combine_chunks()
-        node, root, n = (np.array(table.column(c)) for c in ("node", "root", "n"))
+        node, root, n = (np.array(table.column(c)).copy() for c in ("node", "root", "n"))
         block, regs = np.array(table.column("block")), _matrix(table.column("regs"))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
         i_block, j_block = key[1].as_py(), key[2].as_py()
         left, right = np.flatnonzero(block == i_block), np.flatnonzero(block == j_block)
         us, vs = [], []
+        held = Postings([sets[y] for y in right]) if len(right) else None
         for x in left:
             y = right[right > x] if i_block == j_block else right
             y = y[(root[y] != root[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
             if len(y):
                 e = estimate(np.broadcast_to(regs[x], (len(y), REGISTERS)), regs[y], np.full(len(y), float(n[x])), n[y].astype(float))
                 y = y[e >= threshold]
-                us.append(np.full(len(y), node[x]))
-                vs.append(node[y])
-        cat = lambda z: pa.array(np.concatenate(z).astype(np.int64) if z else np.zeros(0, np.int64))
-        return pa.table({"u": cat(us), "v": cat(vs)})
+            if not len(y):
+                continue
+            common = held.common(sets[x])[np.searchsorted(right, y)]
+            for z in y[100 * common >= percent * (n[x] + n[y] - common)]:
+                if root[z] != root[x]:
+                    us.append(node[x])
+                    vs.append(node[z])
+                    root[root == root[z]] = root[x]
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
 
     return run
 
@@ -186,10 +227,12 @@ def classes_and_links(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, Da
     texts = signed.select("row", "text")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (u, v) confirmed on the full sets of their texts."""
+        """Pairs (u, v) confirmed on the full sets of their texts; only texts that a pair may ask for are shuffled."""
+        asked = bloom.build(pairs.select("u").union(pairs.select("v"))).column(F.col("row"))
+        few = texts.where(asked)
         with_text = (
-            pairs.join(texts.withColumnsRenamed({"row": "u", "text": "u_text"}), "u")
-            .join(texts.withColumnsRenamed({"row": "v", "text": "v_text"}), "v")
+            pairs.join(few.withColumnsRenamed({"row": "u", "text": "u_text"}), "u")
+            .join(few.withColumnsRenamed({"row": "v", "text": "v_text"}), "v")
         )
         return with_text.select("u", "v", "u_text", "v_text").mapInArrow(_verifier(percent), "u long, v long")
 
@@ -217,8 +260,11 @@ def classes_and_links(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, Da
         .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
         .join(reps, "node")
     )
-    more = open_rows.groupBy("key", "i", "j").applyInArrow(_blocks(threshold, percent), "u long, v long").distinct()
-    second = staged(verified(more), "op5-links2")
+    open_nodes = staged(rooted.join(mixed.select("key"), "key", "left_semi").select("node").distinct(), "op5-open")
+    open_texts = texts.where(bloom.build(open_nodes).column(F.col("row"))).withColumnRenamed("row", "node").join(open_nodes, "node")
+    open_sets = open_texts.select("node", "text").mapInArrow(_shingle_sets, "node long, set binary")
+    more = open_rows.join(open_sets, "node").groupBy("key", "i", "j").applyInArrow(_blocks(threshold, percent), "u long, v long")
+    second = staged(more.distinct(), "op5-links2")
     release(spark)
     joined = (
         second.join(roots.withColumnsRenamed({"node": "u", "root": "ru"}), "u", "left").join(roots.withColumnsRenamed({"node": "v", "root": "rv"}), "v", "left")
@@ -244,7 +290,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The kept document of each component, with its own columns."""
-    slim = docs.select("doc_id", "text")
-    kept = near_duplicates(slim, percent).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The kept document of each component, with its own columns; rows without a doc_id, which nothing tells apart, stay."""
+    found = near_duplicates(docs.select("doc_id", "text"), percent)
+    stays = found.where("kept").select("doc_id")
+    gone = staged(found.where("not kept").select("doc_id").distinct().join(stays, "doc_id", "left_anti").withColumnRenamed("doc_id", "_gone"), "op5-gone")
+    key = F.col("doc_id").cast("long")
+    # Documents that cannot be among the removed ones pass unshuffled.
+    marked = docs.withColumn("_maybe", bloom.build(gone).column(key))
+    doubtful = marked.where("_maybe").join(gone, key == F.col("_gone"), "left_anti")
+    return marked.where("not _maybe").unionByName(doubtful).drop("_maybe")
