@@ -8,8 +8,8 @@ are the mean log-probabilities of its windows, weighted by their bytes.
 Training rows are a bounded sample of labelled rows (``sample_per_class``,
 ``sample_bytes``), which the caller chooses; prediction reads only text.
 
-Defined results: a null text or one without a letter is ``und`` with score 0;
-an empty table gives an empty result; equal texts get equal predictions.
+Defined results: a null text or one without a letter is ``und`` with score 0,
+and so is every text where no row is labelled; an empty table gives an empty result; equal texts get equal predictions.
 """
 
 from __future__ import annotations
@@ -138,6 +138,8 @@ def train(texts: list[str], labels: list[str], *, epochs: int = 6, batch: int =
 
 def classify(net: ByteCNN, column: pa.Array) -> tuple[pa.Array, pa.Array]:
     """Predicted class and score of each whole text."""
+    if not net.classes:
+        return pa.array(["und"] * len(column), pa.string()), pa.array([0.0] * len(column), pa.float64())
     names, scores = [], []
     for i, j, raw, offs in K.chunks(column, 1 << 19):
         n = j - i
@@ -148,11 +150,10 @@ def classify(net: ByteCNN, column: pa.Array) -> tuple[pa.Array, pa.Array]:
             bounds = np.searchsorted(row, np.arange(n + 1))
             total = np.concatenate([np.zeros((1, logp.shape[1])), np.cumsum(logp, 0)])
             sums = (total[bounds[1:]] - total[bounds[:-1]]) / np.maximum(np.diff(offs), 1)[:, None]
-        best = sums.argmax(1) if net.classes else np.zeros(n, int)
-        p = np.exp(sums - sums.max(1, keepdims=True)) if net.classes else sums
-        top = 1 / p.sum(1) if net.classes else np.zeros(n)
+        best = sums.argmax(1)
+        top = 1 / np.exp(sums - sums.max(1, keepdims=True)).sum(1)
         for k, text in enumerate(column.slice(i, n).to_pylist()):
-            known = bool(net.classes) and text is not None and _LETTER.search(text) is not None
+            known = text is not None and _LETTER.search(text) is not None
             names.append(net.classes[best[k]] if known else "und")
             scores.append(float(top[k]) if known else 0.0)
     return pa.array(names, pa.string()), pa.array(scores, pa.float64())
