@@ -109,7 +109,7 @@ def scored(docs: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
             draw = np.array(batch.column(len(names) + 1)).astype(np.int64).view(np.uint64)
             u = ((draw >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
             score = np.where(count > 0, weight - np.log(-np.log(u)), -np.inf)
-            extra = [pa.array(count.astype(np.int64)), pa.array(weight), pa.array(_sortable(score))]
+            extra = [pa.array(count.astype(np.int64)), pa.array(weight.astype(np.float64)), pa.array(_sortable(score))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *extra], names=[*names, "_iw_ngrams", "_iw_weight", "_iw_key"])
 
     rows = docs.select(*[docs[f"`{c}`"] for c in names], F.col("text").cast("string").alias("_iw_text"), F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("_iw_draw"))
