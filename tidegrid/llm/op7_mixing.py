@@ -63,8 +63,9 @@ def _joined(rows: DataFrame, sources: DataFrame, small: bool) -> DataFrame:
 
 
 def mix(docs: DataFrame, *, source: str = "source", weights: Sequence[float] = (3, 1, 2), total_share: float = 1.5, seed: int = 7, slim: bool = True) -> DataFrame:
-    """Documents with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``; with ``slim`` only ``doc_id`` is carried along."""
-    carried = [F.col("doc_id").cast("long")] if slim else [docs[f"`{c}`"] for c in docs.columns]
+    """Documents with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``; with ``slim`` only ``doc_id`` is carried along, else the struct ``document``."""
+    # A document's own columns travel in one struct, so their names clash with none of the plan's.
+    carried = [F.col("doc_id").cast("long")] if slim else [F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("document")]
     rows = staged(
         docs.select(
             *carried,
@@ -118,11 +119,10 @@ def mix(docs: DataFrame, *, source: str = "source", weights: Sequence[float] = (
     final = _joined(rows, cut.drop("rest"), small).withColumns(cells)
     chosen = (F.coalesce(lower, F.lit(False)) | F.coalesce(F.col("row") == F.col("best_row"), F.lit(False))) & (F.col("pi") > 0)
     final = final.withColumn("copies", (F.col("whole") + chosen.cast("int")).cast("int")).withColumn("taken", F.col("size") * F.col("copies"))
-    kept = ["doc_id"] if slim else docs.columns
-    return final.select(*[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", "taken", "copies")
+    return final.select("doc_id" if slim else "document", "size", "source_size", "target", "taken", "copies")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document repeated as often as it is taken, with its own columns."""
-    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "copies")]
-    return mix(docs.select(*own), slim=False, **options).withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1))))).where(F.col("copies") > 0).select(*own)
+    taken = mix(docs, slim=False, **options).where("copies > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("document.*")
