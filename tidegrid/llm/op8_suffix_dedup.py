@@ -9,8 +9,8 @@ in the same document or another, is removed.
    An anchor's context is all bytes that such strings can reach.
 2. Anchors whose gram occurs once cannot lie in a repeated string.  Where all
    contexts of a gram are equal, or a context occurs twice, every string of
-   the context is repeated; partial aggregation by hash decides both, so a
-   passage in a third of all rows is one row per task.
+   the context is repeated; counts by hash, summed in each chunk before the
+   shuffle, decide both, so a passage in a third of all rows is no hot group.
 3. What is left are contexts at the edges of repeats.  For each gram, the
    suffixes right of its anchors and the reversed prefixes left of them are
    sorted by deep-shallow sorting.  A string that starts d bytes before the
@@ -30,10 +30,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegrid.llm import bloom
 from tidegrid.llm import kernels as K
 from tidegrid.llm.deep_shallow import deep_shallow_sort
 from tidegrid.llm.runtime import release, session, staged
@@ -74,20 +75,40 @@ def anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[first], rows[first]
 
 
+def _contexts(raw: np.ndarray, offs: np.ndarray):
+    """Of each anchor of a chunk: its row, place, context bounds, and the hashes of its gram and context."""
+    at, rows = anchors(raw, offs)
+    prefix = K.prefix_hash(raw)
+    lo, hi = np.maximum(at - LEFT, offs[:-1][rows]), np.minimum(at + LENGTH, offs[1:][rows])
+    gram = K.span_hashes(raw, at, at + GRAM, prefix)
+    context = K.mix(K.span_hashes(raw, lo, hi, prefix) + (at - lo).astype(np.uint64))
+    return rows, at, lo, hi, gram.view(np.int64), context.view(np.int64)
+
+
+def _anchor_counts(batches):
+    """(gram, context, n), summed over each chunk before anything is shuffled."""
+    for batch in batches:
+        for _, _, raw, offs in K.chunks(batch.column(0)):
+            *_, gram, context = _contexts(raw, offs)
+            if not len(gram):
+                continue
+            order = np.lexsort((context, gram))
+            gram, context = gram[order], context[order]
+            first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])]))
+            n = np.diff(np.concatenate([first, [len(gram)]]))
+            yield pa.RecordBatch.from_arrays([pa.array(gram[first]), pa.array(context[first]), pa.array(n.astype(np.int64))], names=["gram", "context", "n"])
+
+
 def _anchor_rows(batches):
     for batch in batches:
         k1, k2 = np.array(batch.column(0)), np.array(batch.column(1))
         for i, _, raw, offs in K.chunks(batch.column(2)):
-            at, rows = anchors(raw, offs)
+            rows, at, lo, hi, gram, context = _contexts(raw, offs)
             if not len(at):
                 continue
-            prefix = K.prefix_hash(raw)
-            lo, hi = np.maximum(at - LEFT, offs[:-1][rows]), np.minimum(at + LENGTH, offs[1:][rows])
-            gram = K.span_hashes(raw, at, at + GRAM, prefix)
-            context = K.mix(K.span_hashes(raw, lo, hi, prefix) + (at - lo).astype(np.uint64))
             base = offs[:-1][rows]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (gram.view(np.int64), context.view(np.int64), k1[i + rows], k2[i + rows], (at - base).astype(np.int32), (lo - base).astype(np.int32), (hi - base).astype(np.int32))],
+                [pa.array(x) for x in (gram, context, k1[i + rows], k2[i + rows], (at - base).astype(np.int32), (lo - base).astype(np.int32), (hi - base).astype(np.int32))],
                 names=["gram", "context", "k1", "k2", "pos", "lo", "hi"],
             )
 
@@ -209,18 +230,23 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spark = session(docs.sparkSession)
     text, k1, k2 = _keys(docs)
     found = docs.select(k1, k2, text).mapInArrow(_anchor_rows, ANCHOR_SCHEMA)
-    grams = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b")).where("n > 1")
-    repeated = staged(found.join(grams, "gram").select(*found.columns, (F.col("a") == F.col("b")).alias("uniform")), "op8-anchors")
+    # Counts come pre-summed by chunk, so a passage of one third of all rows is a row per chunk; both levels share one shuffle by gram.
+    counted = docs.select(text).mapInArrow(_anchor_counts, "gram long, context long, n long").repartition("gram")
+    by_context = counted.groupBy("gram", "context").agg(F.sum("n").alias("copies"))
+    same_gram = Window.partitionBy("gram")
+    often = by_context.withColumns({"total": F.sum("copies").over(same_gram), "kinds": F.count("*").over(same_gram)}).where("total > 1")
+    repeated = staged(
+        found.join(often.select("gram", "context", "copies", (F.col("kinds") == 1).alias("uniform")), ["gram", "context"]).select(*found.columns, "copies", "uniform"), "op8-anchors"
+    )
     release(spark)
     open_ = repeated.where("not uniform")
     contexts = staged(
-        open_.groupBy("gram", "context").agg(F.count("*").alias("copies"), F.min(F.struct("k1", "k2", "pos", "lo", "hi")).alias("one")), "op8-contexts"
-    )
-    whole = repeated.where("uniform").select("k1", "k2", "lo", "hi").union(
-        open_.join(contexts.where("copies > 1").select("gram", "context"), ["gram", "context"]).select("k1", "k2", "lo", "hi")
+        open_.groupBy("gram", "context").agg(F.max("copies").alias("copies"), F.min(F.struct("k1", "k2", "pos", "lo", "hi")).alias("one")), "op8-contexts"
     )
+    whole = repeated.where("uniform or copies > 1").select("k1", "k2", "lo", "hi")
     wanted = contexts.select("one.k1", "one.k2", F.struct("gram", "context", "copies", "one.pos", "one.lo", "one.hi").alias("w")).groupBy("k1", "k2").agg(F.collect_list("w").alias("wanted"))
-    bodies = docs.select(text, k1, k2).join(wanted, ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(
+    asked = bloom.build(contexts.select("one.k1")).column(F.col("k1"))
+    bodies = docs.select(text, k1, k2).where(asked).join(wanted, ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(
         _extract, "gram long, context long, copies long, k1 long, k2 long, pos int, lo int, bytes binary"
     )
     edges = bodies.repartition("gram").sortWithinPartitions("gram", "context").mapInArrow(_sort_rows, "k1 long, k2 long, lo int, hi int")
@@ -257,8 +283,13 @@ def _with_spans(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` with ``_los`` and ``_his``."""
     _, k1, k2 = _keys(docs)
     spans = repeated_spans(docs).withColumnsRenamed({"k1": "_k1", "k2": "_k2", "los": "_los", "his": "_his"})
-    keyed = docs.withColumns({"_d1": k1, "_d2": k2})
-    return keyed.join(spans, (F.col("_d1") == F.col("_k1")) & (F.col("_d2") == F.col("_k2")), "left").select(*[keyed[f"`{c}`"] for c in docs.columns], "_los", "_his")
+    own = docs.columns
+    keyed = docs.withColumns({"_d1": k1, "_d2": k2}).withColumn("_maybe", bloom.build(spans.select("_k1")).column(F.col("_d1")))
+    # Texts without any removed span are not shuffled.
+    none = F.lit(None).cast("array<int>")
+    clean = keyed.where("not _maybe").select(*[F.col(f"`{c}`") for c in own], none.alias("_los"), none.alias("_his"))
+    joined = keyed.where("_maybe").join(spans, (F.col("_d1") == F.col("_k1")) & (F.col("_d2") == F.col("_k2")), "left")
+    return clean.unionByName(joined.select(*[F.col(f"`{c}`") for c in own], "_los", "_his"))
 
 
 def removal_digest(docs: DataFrame) -> DataFrame:
