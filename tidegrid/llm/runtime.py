@@ -33,13 +33,22 @@ def session(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; one of our own only where none is set, as in tests."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is set, as in tests, a local session gets one of its own; on a
+    cluster that would be a folder of one machine, so it is an error.
+    """
+    sc = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not where:
-        kept = spark.sparkContext.getCheckpointDir()
-        where = kept or f"file://{tempfile.mkdtemp(prefix='tidegrid-')}"
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set")
+        sc.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='tidegrid-')}")
+        where = sc.getCheckpointDir()
+    # A path without a scheme is on the default file system; name it, so that every reader finds the same folder.
+    path = sc._jvm.org.apache.hadoop.fs.Path(where)
+    full = path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return "file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full
 
 
 def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
