@@ -313,7 +313,9 @@ def test_repeats_of_all_kinds(spark):
         texts.append("".join(piece() for _ in range(rng.randint(0, 5))))
     texts += [None, "", texts[3], "z" + "\0" * 260, "é" * 300]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert multiset(op8.removal_digest(docs).collect()) == multiset((i, *x) for i, x in enumerate(brute.removed(texts)))
+    want = multiset((i, *x) for i, x in enumerate(brute.removed(texts)))
+    assert multiset(op8.removal_digest(docs).collect()) == want
+    assert multiset(op8.removal_digest(docs, hot=3).collect()) == want  # most grams count as hot
 
 
 def test_repeat_edges(odd, empty, no_ids):

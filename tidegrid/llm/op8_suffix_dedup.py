@@ -17,6 +17,8 @@ in the same document or another, is removed.
    anchor is repeated if another context shares d bytes to the left and
    LENGTH - d to the right: the two orders' common prefixes cut both into
    classes, and an equal pair of classes tells.
+   Where one gram has more than ``HOT`` open contexts, no task takes them all:
+   each of their strings is hashed and counted with partial aggregation.
 4. Removed runs are joined to the texts by content hash and cut out.
 
 Defined results: a null text counts as empty; texts shorter than ``LENGTH``
@@ -42,9 +44,10 @@ from tidegrid.llm.runtime import release, session, staged
 LENGTH = 200
 GRAM = 40
 LEFT = LENGTH - GRAM  # an anchor lies at most so far right of its string's start
-#: Contexts sorted at once; a larger group is sorted whole.
+#: Contexts sorted at once.
 BLOCK = 8192
-_GRAM_PRIME = K.U64(K._PRIME)
+#: Contexts of one gram up to which they are sorted in one task; beyond, their strings are counted by hash.
+HOT = 50_000
 
 
 def anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,20 +125,47 @@ def _extract(batches):
         text = batch.column(0)
         raw, offs = K.buffers(text)
         raw = raw.tobytes()
-        out = {k: [] for k in ("gram", "context", "copies", "k1", "k2", "pos", "lo", "bytes")}
+        out = {k: [] for k in ("gram", "context", "copies", "k1", "k2", "pos", "lo", "bytes", "hot")}
         for r, wanted in enumerate(batch.column(3).to_pylist()):
             for w in wanted:
-                for k in ("gram", "context", "copies", "pos", "lo"):
+                for k in ("gram", "context", "copies", "pos", "lo", "hot"):
                     out[k].append(w[k])
                 out["k1"].append(batch.column(1)[r].as_py())
                 out["k2"].append(batch.column(2)[r].as_py())
                 out["bytes"].append(raw[offs[r] + w["lo"] : offs[r] + w["hi"]])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(out["gram"], pa.int64()), pa.array(out["context"], pa.int64()), pa.array(out["copies"], pa.int64()), pa.array(out["k1"], pa.int64()), pa.array(out["k2"], pa.int64()), pa.array(out["pos"], pa.int32()), pa.array(out["lo"], pa.int32()), pa.array(out["bytes"], pa.binary())],
+            [pa.array(out["gram"], pa.int64()), pa.array(out["context"], pa.int64()), pa.array(out["copies"], pa.int64()), pa.array(out["k1"], pa.int64()), pa.array(out["k2"], pa.int64()), pa.array(out["pos"], pa.int32()), pa.array(out["lo"], pa.int32()), pa.array(out["bytes"], pa.binary()), pa.array(out["hot"], pa.bool_())],
             names=list(out),
         )
 
 
+EXTRACT_SCHEMA = "gram long, context long, copies long, k1 long, k2 long, pos int, lo int, bytes binary, hot boolean"
+
+
+def _strings(batches):
+    """Every string of a context that holds its anchor: (gram, d, hash, context, copies, k1, k2, lo)."""
+    for batch in batches:
+        gram, context, copies, k1, k2, pos, lo = (np.array(batch.column(i)) for i in range(7))
+        for i, _, raw, offs in K.chunks(batch.column(7)):
+            starts, rows, _ = K.windows_in_rows(offs, LENGTH)
+            if not len(starts):
+                continue
+            own = i + rows
+            d = (pos[own] - lo[own]) - (starts - offs[:-1][rows])
+            keep = (d >= 0) & (d <= LEFT)
+            starts, own, d = starts[keep], own[keep], d[keep]
+            h = K.span_hashes(raw, starts, starts + LENGTH)
+            cols = (gram[own], d.astype(np.int32), h.view(np.int64), context[own], copies[own], k1[own], k2[own], (pos[own] - d).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["gram", "d", "h", "context", "copies", "k1", "k2", "lo"])
+
+
+def _hot_spans(contexts: DataFrame) -> DataFrame:
+    """The removed spans of contexts of hot grams, string by string."""
+    strings = contexts.mapInArrow(_strings, "gram long, d int, h long, context long, copies long, k1 long, k2 long, lo int")
+    again = strings.groupBy("gram", "d", "h").agg(F.min("context").alias("a"), F.max("context").alias("b")).where("a <> b").select("gram", "d", "h")
+    return strings.where("copies = 1").join(again, ["gram", "d", "h"]).select("k1", "k2", "lo", (F.col("lo") + LENGTH).alias("hi"))
+
+
 def repeated_starts(groups: np.ndarray, raw: np.ndarray, offs: np.ndarray, left: np.ndarray) -> np.ndarray:
     """For each context and d in [0, LEFT]: does the string that starts d bytes before its anchor recur in its group?"""
     n = len(groups)
@@ -225,7 +255,7 @@ def _keys(docs: DataFrame):
     return body.alias("text"), F.xxhash64(body).alias("k1"), F.xxhash64(F.lit(8), body).alias("k2")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(k1, k2, los, his): the removed spans, overlaps included, of each text by its content hash."""
     spark = session(docs.sparkSession)
     text, k1, k2 = _keys(docs)
@@ -236,21 +266,23 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     same_gram = Window.partitionBy("gram")
     often = by_context.withColumns({"total": F.sum("copies").over(same_gram), "kinds": F.count("*").over(same_gram)}).where("total > 1")
     repeated = staged(
-        found.join(often.select("gram", "context", "copies", (F.col("kinds") == 1).alias("uniform")), ["gram", "context"]).select(*found.columns, "copies", "uniform"), "op8-anchors"
+        found.join(often.select("gram", "context", "copies", "kinds"), ["gram", "context"]).select(*found.columns, "copies", "kinds"), "op8-anchors"
     )
     release(spark)
-    open_ = repeated.where("not uniform")
+    open_ = repeated.where("kinds > 1")
     contexts = staged(
-        open_.groupBy("gram", "context").agg(F.max("copies").alias("copies"), F.min(F.struct("k1", "k2", "pos", "lo", "hi")).alias("one")), "op8-contexts"
+        open_.groupBy("gram", "context").agg(F.max("copies").alias("copies"), F.max("kinds").alias("kinds"), F.min(F.struct("k1", "k2", "pos", "lo", "hi")).alias("one")), "op8-contexts"
     )
-    whole = repeated.where("uniform or copies > 1").select("k1", "k2", "lo", "hi")
-    wanted = contexts.select("one.k1", "one.k2", F.struct("gram", "context", "copies", "one.pos", "one.lo", "one.hi").alias("w")).groupBy("k1", "k2").agg(F.collect_list("w").alias("wanted"))
+    whole = repeated.where("kinds = 1 or copies > 1").select("k1", "k2", "lo", "hi")
+    wanted = contexts.select("one.k1", "one.k2", F.struct("gram", "context", "copies", "one.pos", "one.lo", "one.hi", (F.col("kinds") > hot).alias("hot")).alias("w")).groupBy("k1", "k2").agg(F.collect_list("w").alias("wanted"))
     asked = bloom.build(contexts.select("one.k1")).column(F.col("k1"))
-    bodies = docs.select(text, k1, k2).where(asked).join(wanted, ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(
-        _extract, "gram long, context long, copies long, k1 long, k2 long, pos int, lo int, bytes binary"
-    )
-    edges = bodies.repartition("gram").sortWithinPartitions("gram", "context").mapInArrow(_sort_rows, "k1 long, k2 long, lo int, hi int")
-    spans = whole.union(edges).distinct()
+    bodies = docs.select(text, k1, k2).where(asked).join(wanted, ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(_extract, EXTRACT_SCHEMA)
+    spans = whole
+    if (contexts.agg(F.max("kinds")).first()[0] or 0) > hot:
+        bodies = staged(bodies, "op8-bodies")
+        spans = spans.union(_hot_spans(bodies.where("hot")))
+    edges = bodies.where("not hot").repartition("gram").sortWithinPartitions("gram", "context").mapInArrow(_sort_rows, "k1 long, k2 long, lo int, hi int")
+    spans = spans.union(edges).distinct()
     out = staged(
         spans.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("s"))
         .select("k1", "k2", F.transform("s", lambda x: x["lo"]).alias("los"), F.transform("s", lambda x: x["hi"]).alias("his")),
@@ -279,10 +311,10 @@ def cut(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def _with_spans(docs: DataFrame) -> DataFrame:
+def _with_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """All columns of ``docs`` with ``_los`` and ``_his``."""
     _, k1, k2 = _keys(docs)
-    spans = repeated_spans(docs).withColumnsRenamed({"k1": "_k1", "k2": "_k2", "los": "_los", "his": "_his"})
+    spans = repeated_spans(docs, hot).withColumnsRenamed({"k1": "_k1", "k2": "_k2", "los": "_los", "his": "_his"})
     own = docs.columns
     keyed = docs.withColumns({"_d1": k1, "_d2": k2}).withColumn("_maybe", bloom.build(spans.select("_k1")).column(F.col("_d1")))
     # Texts without any removed span are not shuffled.
@@ -292,7 +324,7 @@ def _with_spans(docs: DataFrame) -> DataFrame:
     return clean.unionByName(joined.select(*[F.col(f"`{c}`") for c in own], "_los", "_his"))
 
 
-def removal_digest(docs: DataFrame) -> DataFrame:
+def removal_digest(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
 
     def run(batches):
@@ -306,7 +338,7 @@ def removal_digest(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return _with_spans(slim).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _with_spans(slim, hot).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, counted: str | None = None) -> DataFrame:
