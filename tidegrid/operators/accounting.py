@@ -49,10 +49,17 @@ def contributions(accounting: DataFrame, keys: Sequence[str], value: str = "matc
 
 
 def scoped(rows: DataFrame, scopes: Mapping[str, Sequence[str]], measures: Sequence[Column]) -> DataFrame:
-    """One pass of grouping sets; ``scope`` names each row's set, absent keys are null."""
+    """Measures in several scopes; ``scope`` names each row's set of keys, absent keys are null.
+
+    Measures are named counts and sums.  Rows are first aggregated by all keys;
+    grouping sets then add up that small table, so rows are never multiplied by
+    the number of scopes.
+    """
     keys = list(dict.fromkeys(k for s in scopes.values() for k in s))
+    fine = rows.groupBy(*keys).agg(*measures)
+    names = [c for c in fine.columns if c not in keys]
     sets = [[F.col(k) for k in s] for s in scopes.values()]
-    grouped = rows.groupingSets(sets, *keys).agg(F.grouping_id(*keys).alias("_id"), *measures)
+    grouped = fine.groupingSets(sets, *keys).agg(F.grouping_id(*keys).alias("_id"), *[F.sum(n).alias(n) for n in names])
     label = F.lit(None)
     for name, own in scopes.items():
         number = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in own)

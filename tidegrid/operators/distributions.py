@@ -108,13 +108,15 @@ def binned_ecdf(rows: DataFrame, bins: Mapping[str, Column], by: Sequence[str],
     """Counts and cumulative shares by metric and bin, pooled over and within ``by``.
 
     ``bins`` maps a metric to its bin (null: invalid).  One pass: metrics are
-    stacked and grouping sets give the pooled rows, whose ``by`` is null.
+    stacked and counted, and grouping sets of the counts give the pooled rows,
+    whose ``by`` is null.
     """
     base = rows.where(F.coalesce(gate, F.lit(False))) if gate is not None else rows
     stack = F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), b.cast("long").alias("bin")) for k, b in bins.items()]))
     long = base.select(*by, stack.alias("m")).select(*by, "m.metric", "m.bin").where(F.col("bin").isNotNull())
-    counts = long.groupingSets([[F.col("metric"), F.col("bin"), *[F.col(b) for b in by]], [F.col("metric"), F.col("bin")]], "metric", "bin", *by).agg(
-        F.grouping_id("metric", "bin", *by).alias("_g"), F.count("*").alias("n")
+    fine = long.groupBy("metric", "bin", *by).agg(F.count("*").alias("n"))
+    counts = fine.groupingSets([[F.col("metric"), F.col("bin"), *[F.col(b) for b in by]], [F.col("metric"), F.col("bin")]], "metric", "bin", *by).agg(
+        F.grouping_id("metric", "bin", *by).alias("_g"), F.sum("n").alias("n")
     )
     counts = counts.withColumn("pooled", F.col("_g") != 0).drop("_g")
     part = Window.partitionBy("metric", "pooled", *by)

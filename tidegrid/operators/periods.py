@@ -17,6 +17,37 @@ def _at_least(count: str, total: str, share: float) -> Column:
     return F.col(count) * s.denominator >= F.col(total) * s.numerator
 
 
+def _flag(c: Column | str) -> Column:
+    return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(False))
+
+
+def _segment(eligible: str, part: Sequence[str], grid: Grid) -> Column:
+    """Number of the unbroken eligible stretch of each row: ineligible rows and holes in the grid start a new one."""
+    order = Window.partitionBy(*part).orderBy(grid.time)
+    hole = F.coalesce(F.col(grid.time) - F.col("_before") != grid.step, F.lit(False))
+    return F.sum((~F.col(eligible) | hole).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+
+
+def _episodes(matches: DataFrame, part: Sequence[str], grid: Grid, off_delay: int, least_elapsed: int, occupancy: float) -> DataFrame:
+    """Periods of matching rows with their ``segment``; only matches are sorted here."""
+    step = grid.step
+    inside = Window.partitionBy(*part, "segment").orderBy(grid.time)
+    gap = F.col(grid.time) - F.lag(grid.time).over(inside)
+    new = F.coalesce(gap > off_delay * step, F.lit(True))
+    marked = matches.withColumns({"_new": new.cast("int"), "_missed": F.when(new, 0).otherwise(F.call_function("div", gap, F.lit(step)) - 1)})
+    marked = marked.withColumn("_episode", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    found = marked.groupBy(*part, "segment", "_episode").agg(
+        F.min(grid.time).alias("_first"), F.max(grid.time).alias("episode_end"), F.count("*").alias("matching_steps"), F.max("_missed").alias("longest_gap_steps")
+    )
+    found = found.withColumn("elapsed_steps", F.call_function("div", F.col("episode_end") - F.col("_first"), F.lit(step)) + 1)
+    found = found.where((F.col("elapsed_steps") >= least_elapsed) & _at_least("matching_steps", "elapsed_steps", occupancy)).withColumn("episode_start", F.col("_first") - step)
+    number = F.row_number().over(Window.partitionBy(*part).orderBy("episode_start")).cast("long")
+    return found.select(
+        *part, number.alias("episode_id"), "episode_start", "episode_end", "elapsed_steps", "matching_steps", (F.col("elapsed_steps") - F.col("matching_steps")).alias("nonmatching_steps"),
+        (F.col("matching_steps") / F.col("elapsed_steps")).alias("occupancy"), "longest_gap_steps",
+    )
+
+
 def gap_periods(
     rows: DataFrame, grid: Grid, *, eligible: Column | str = "eligible", matching: Column | str = "matching", off_delay: int = 30, least_elapsed: int = 300,
     occupancy: float = 0.8, more: Sequence[str] = ("session",),
@@ -29,40 +60,32 @@ def gap_periods(
     eligible.  One shuffle by member and two sorts serve the whole plan.
     """
     part = [*grid.keys, *more]
-    t, step = F.col(grid.time), grid.step
-    order = Window.partitionBy(*part).orderBy(grid.time)
-    flag = lambda c: F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(False))
-    base = rows.select(*part, grid.time, flag(eligible).alias("_e"), flag(matching).alias("_m"))
-    split = ~F.col("_e") | F.coalesce(t - F.lag(grid.time).over(order) != step, F.lit(False))
-    base = base.withColumn("segment", F.sum(split.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))).where("_m")
-    inside = Window.partitionBy(*part, "segment").orderBy(grid.time)
-    gap = t - F.lag(grid.time).over(inside)
-    new = F.coalesce(gap > off_delay * step, F.lit(True))
-    marked = base.withColumns({"_new": new.cast("int"), "_missed": F.when(new, 0).otherwise(F.call_function("div", gap, F.lit(step)) - 1)})
-    marked = marked.withColumn("_episode", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    found = marked.groupBy(*part, "segment", "_episode").agg(
-        F.min(grid.time).alias("_first"), F.max(grid.time).alias("episode_end"), F.count("*").alias("matching_steps"), F.max("_missed").alias("longest_gap_steps")
-    )
-    found = found.withColumn("elapsed_steps", F.call_function("div", F.col("episode_end") - F.col("_first"), F.lit(step)) + 1)
-    found = found.where((F.col("elapsed_steps") >= least_elapsed) & _at_least("matching_steps", "elapsed_steps", occupancy))
-    start = F.col("_first") - step
-    return found.withColumn("episode_start", start).select(
-        *part, F.row_number().over(Window.partitionBy(*part).orderBy("episode_start")).cast("long").alias("episode_id"), "episode_start", "episode_end", "elapsed_steps",
-        "matching_steps", (F.col("elapsed_steps") - F.col("matching_steps")).alias("nonmatching_steps"),
-        (F.col("matching_steps") / F.col("elapsed_steps")).alias("occupancy"), "longest_gap_steps",
-    )
+    before = F.lag(grid.time).over(Window.partitionBy(*part).orderBy(grid.time))
+    base = rows.select(*part, grid.time, _flag(eligible).alias("_e"), _flag(matching).alias("_m")).withColumn("_before", before)
+    matches = base.withColumn("segment", _segment("_e", part, grid)).where("_m").select(*part, grid.time, "segment")
+    return _episodes(matches, part, grid, off_delay, least_elapsed, occupancy)
 
 
-def period_variants(rows: DataFrame, grid: Grid, variants: Mapping[str, tuple[Column, Column]], *, more: Sequence[str] = ("session",), **options) -> DataFrame:
-    """Many (eligible, matching) definitions in one plan: rows are unnested into the variants they concern.
+def period_variants(
+    rows: DataFrame, grid: Grid, variants: Mapping[str, tuple[Column, Column]], *, more: Sequence[str] = ("session",), off_delay: int = 30, least_elapsed: int = 300, occupancy: float = 0.8
+) -> DataFrame:
+    """Many (eligible, matching) definitions in one plan.
 
-    A row that neither matches nor ends a stretch of a variant still separates
-    grid holes, so every variant keeps all rows; unnesting multiplies rows by
-    the fixed number of variants only, and the scan happens once.
+    Stretches are numbered once for each distinct eligibility; then matching
+    rows alone are unnested into the variants they match, so what is sorted a
+    second time grows with matches, not with rows times variants.
     """
-    structs = [F.struct(F.lit(k).alias("variant"), F.coalesce(e, F.lit(False)).alias("v_eligible"), F.coalesce(m, F.lit(False)).alias("v_matching")) for k, (e, m) in variants.items()]
-    long = rows.select(*grid.keys, *more, grid.time, F.explode(F.array(*structs)).alias("v")).select(*grid.keys, *more, grid.time, "v.*")
-    return gap_periods(long, grid, eligible="v_eligible", matching="v_matching", more=[*more, "variant"], **options)
+    part = [*grid.keys, *more]
+    distinct = {str(e): e for e, _ in variants.values()}
+    at = {k: i for i, k in enumerate(distinct)}
+    before = F.lag(grid.time).over(Window.partitionBy(*part).orderBy(grid.time))
+    base = rows.select(
+        *part, grid.time, *[_flag(e).alias(f"_e{i}") for i, e in enumerate(distinct.values())], *[_flag(m).alias(f"_m{j}") for j, (_, m) in enumerate(variants.values())]
+    ).withColumn("_before", before)
+    base = base.withColumns({f"_s{i}": _segment(f"_e{i}", part, grid) for i in range(len(distinct))})
+    hits = [F.when(F.col(f"_m{j}"), F.struct(F.lit(name).alias("variant"), F.col(f"_s{at[str(e)]}").alias("segment"))) for j, (name, (e, _)) in enumerate(variants.items())]
+    matches = base.select(*part, grid.time, F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("v")).select(*part, "v.variant", grid.time, "v.segment")
+    return _episodes(matches, [*part, "variant"], grid, off_delay, least_elapsed, occupancy)
 
 
 def omit_one(conditions: Mapping[str, Column], omit: str | None = None) -> Column:
