@@ -153,3 +153,27 @@ def test_command_line(capsys):
     assert len(capsys.readouterr().out.splitlines()) == 27
     with pytest.raises(SystemExit):
         cli.main(["nothing"])
+
+
+def test_receipts(spark, tmp_path):
+    from tidegrid.sources.receipts import verify_receipt, write_receipt
+
+    folder = f"file://{tmp_path}/stage"
+    spark.range(5).coalesce(1).write.parquet(f"{folder}/out")
+    done = write_receipt(spark, folder, "demo", inputs={}, parameters={"p": 1}, outputs=["out"], validation={"complete": True, "rows": 5})
+    assert verify_receipt(spark, folder)["identity"] == done["identity"]
+    with pytest.raises(ContractError):
+        write_receipt(spark, f"{folder}2", "demo", inputs={}, parameters={}, outputs=[], validation={"complete": False})
+    (tmp_path / "stage" / "stage.json").write_text((tmp_path / "stage" / "stage.json").read_text().replace('"p":1', '"p":2'))
+    (tmp_path / "stage" / ".stage.json.crc").unlink(missing_ok=True)
+    with pytest.raises(ContractError):
+        verify_receipt(spark, folder)
+
+
+def test_minute_bars(spark):
+    start = session_bounds("2026-06-01")[0]
+    page = spark.createDataFrame([(start // 1_000_000, 5.0, 10.0, 1.0, 2.0, 3.0, 0.5)], "t long, n double, v double, o double, c double, h double, l double")
+    row = vendor.minute_bars(page, "A", start, start + NS).first()
+    assert (row.window_start, row.transactions, row.close, row.low) == (start, 5.0, 2.0, 0.5)
+    with pytest.raises(Exception, match="outside its session"):
+        vendor.minute_bars(page, "A", start + 1, start + NS).collect()

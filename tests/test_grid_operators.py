@@ -240,3 +240,32 @@ def test_configuration():
     for bad in ((0, 60), (30, 5), (True, 60)):
         with pytest.raises(ContractError):
             View(*bad)
+
+
+def test_admission(spark):
+    from tidegrid.operators.admission import admit
+    from tidegrid.operators.replay import CONTEXT
+
+    day = "2026-06-01"
+    start = session_bounds(day)[0]
+    end = start + 600 * NS
+    good = dict(session_start_ns=start, session_end_ns=end, lot_multiplier=100.0, seed_verified=False, quote_observed=[(start, end)], quote_gaps=[], trade_observed=[(start, start + NS), (start + NS, end)], trade_gaps=[(start + 5, start + 9)], quote_breaks=[start], trade_breaks=[], halts=[(start + NS, start + 2 * NS, "h1"), (start + 4 * NS, start + 5 * NS, "h2")])
+    bad = {
+        "session start": {"session_start_ns": start + 1}, "quote intervals cover": {"quote_observed": [(start, end - NS)]}, "trade gaps": {"trade_gaps": [(start + 5, start + 9), (start + 8, start + 12)]}, "quote breaks": {"quote_breaks": [end]},
+        "halt closures apart": {"halts": [(start + NS, start + 2 * NS, "h1"), (start + 2 * NS + 5, start + 3 * NS, "h2")]}, "halt ids": {"halts": [(start, start + NS, "h"), (start + 9 * NS, start + 10 * NS, "h")]}, "coverage on the grid": {"session_end_ns": end + 1},
+    }
+    rows = [(day, "GOOD", *good.values()), (day, "bad symbol", *good.values()), (day, "TWICE", *good.values()), (day, "TWICE", *good.values())]
+    rows += [(day, f"B{i}", *(good | change).values()) for i, change in enumerate(bad.values())]
+    df = spark.createDataFrame(rows, "session_date string, symbol string, " + ", ".join(f"{k} {CONTEXT[k]}" for k in good))
+    got = {r.symbol: r for r in admit(df).collect()}
+    assert got["GOOD"].state == "admitted" and got["bad symbol"].reasons == ["symbol"] and got["TWICE"].reasons == ["repeated member"]
+    for i, rule in enumerate(bad):
+        assert rule in got[f"B{i}"].reasons, rule
+
+
+def test_active_gate_edges(spark):
+    from tidegrid.operators.population import active_gate
+
+    df = spark.createDataFrame([(1.0, 2.0), (0.999, 2.0), (1.0, 2.001), (None, 1.0), (5.0, None)], "trade_rate_per_second_hl30s double, trade_age_p90_seconds_window60s double")
+    valid, passing = active_gate()
+    assert [(r.v, bool(r.v and r.p)) for r in df.select(valid.alias("v"), passing.alias("p")).collect()] == [(True, True), (True, False), (True, False), (False, False), (False, False)]

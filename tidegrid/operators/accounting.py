@@ -167,6 +167,17 @@ def threshold_crossings(rows: DataFrame, keys: Sequence[str], order: str, flag:
     return marked.groupBy(*keys).agg(count_if(F.col("now") & ~F.col("before")).alias("turned_on"), count_if(~F.col("now") & F.col("before")).alias("turned_off"))
 
 
+def view_crossings(rows: DataFrame, common: Column, a: Column, b: Column, floor: float, a_match: Column, b_match: Column, names: tuple[str, str] = ("fast", "slow")) -> DataFrame:
+    """One row: how often one view's value reaches a floor that the other's does not, and how that bears on one-sided matches."""
+    x, y = names
+    ok = F.coalesce(common & a.isNotNull() & b.isNotNull(), F.lit(False))
+    only_a, only_b = a_match & ~b_match, b_match & ~a_match
+    return rows.agg(
+        count_if(ok & (a >= floor) & (b < floor)).alias(f"{x}_above_{y}_below"), count_if(ok & (b >= floor) & (a < floor)).alias(f"{y}_above_{x}_below"),
+        count_if(only_a).alias(f"{x}_only"), count_if(only_b).alias(f"{y}_only"), count_if(only_a & ok & (a < floor)).alias(f"{x}_only_low"), count_if(only_b & ok & (b < floor)).alias(f"{y}_only_low"),
+    )
+
+
 def reason_tallies(rows: DataFrame, mask: str, bits: Mapping[int, str]) -> DataFrame:
     """Rows that carry each reason; a row with several counts in each."""
     one = rows.agg(*[count_if(F.col(mask).bitwiseAND(b) != 0).alias(n) for b, n in bits.items()])

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.functions.bins import FixedAxis
+from tidegrid.functions.bins import Axis, FixedAxis
 
 #: Published quantile grids.
 MARGINAL_QUANTILES = (0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0)
@@ -124,6 +124,41 @@ def binned_ecdf(rows: DataFrame, bins: Mapping[str, Column], by: Sequence[str],
     return counts.withColumns({"cumulative_n": F.sum("n").over(run), "share": F.sum("n").over(run) / F.sum("n").over(part)})
 
 
+def activity_ecdf(rows: DataFrame, value: Column, bin_: Column, session: str, threshold: Column) -> DataFrame:
+    """Binned counts with each bin's extremes and threshold passes, per session and pooled, with cumulative shares.
+
+    The curve of a session runs through (largest value of the bin, share), so
+    it touches observed values only.  Rows are aggregated by session and bin
+    once; the pooled rows come from that table.
+    """
+    fine = rows.select(F.col(session).alias("session"), value.alias("x"), bin_.alias("bin"), F.coalesce(threshold, F.lit(False)).alias("t")).where("x is not null").groupBy("session", "bin").agg(
+        F.count("*").alias("n"), F.count_if("t").alias("passes"), F.min("x").alias("low"), F.max("x").alias("high")
+    )
+    pooled = fine.groupBy("bin").agg(F.sum("n").alias("n"), F.sum("passes").alias("passes"), F.min("low").alias("low"), F.max("high").alias("high")).withColumn("session", F.lit("pooled"))
+    part = Window.partitionBy("session")
+    run = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    return fine.unionByName(pooled).withColumns({"cumulative_n": F.sum("n").over(run), "share": F.sum("n").over(run) / F.sum("n").over(part)})
+
+
+def panel_summary(rows: DataFrame, keys: Sequence[str], x: str, y: str, x_axis: Axis, y_axis: Axis) -> DataFrame:
+    """One row: validity, zeros, what the axes show, and the member that contributes most."""
+    xn, yn = F.col(x).isNull(), F.col(y).isNull()
+    both = ~xn & ~yn
+    shown = F.coalesce(both & x_axis.bin(F.col(x)).isNotNull() & y_axis.bin(F.col(y)).isNotNull(), F.lit(False))
+    count = lambda c: F.count_if(c)
+    per = rows.groupBy(*keys).agg(
+        F.count("*").alias("selected"), count(both).alias("pair_valid"), count(xn & ~yn).alias("x_invalid_only"), count(yn & ~xn).alias("y_invalid_only"), count(xn & yn).alias("both_invalid"),
+        count(shown).alias("plotted"), count(both & (F.col(x) == 0)).alias("x_zero"), count(both & (F.col(y) == 0)).alias("y_zero"),
+    )
+    sums = ["selected", "pair_valid", "x_invalid_only", "y_invalid_only", "both_invalid", "plotted", "x_zero", "y_zero"]
+    name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+    out = per.agg(
+        *[F.sum(s).alias(s) for s in sums], F.count("*").alias("selected_members"), F.count_if(F.col("pair_valid") > 0).alias("contributing_members"),
+        F.max_by(name, F.struct("pair_valid", name.alias("name"))).alias("largest_member"), F.max("pair_valid").alias("largest_pair_valid"),
+    )
+    return out.withColumns({"off_axis": F.col("pair_valid") - F.col("plotted"), "largest_share": F.try_divide(F.col("largest_pair_valid").cast("double"), F.col("pair_valid"))})
+
+
 def curve(ecdf: DataFrame, width: float, maximum: Column, log: bool = True) -> DataFrame:
     """x of each bin's right edge, capped at the largest value."""
     edge = F.col("bin") * F.lit(width)

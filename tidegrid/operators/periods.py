@@ -117,6 +117,17 @@ def best_window(rows: DataFrame, grid: Grid, *, steps: int = 300, occupancy: flo
     )
 
 
+def fixed_window(rows: DataFrame, grid: Grid, ends: DataFrame, steps: int, values: Sequence[str]) -> DataFrame:
+    """The last ``steps`` rows up to each member's ``stop``, values rebased to the first valid one, in basis points.
+
+    ``ends`` has a member's keys and ``stop``, one row each; the range reaches
+    the scan as a filter where the ends are literals.
+    """
+    cut = rows.join(ends, list(grid.keys)).where((F.col(grid.time) > F.col("stop") - steps * grid.step) & (F.col(grid.time) <= F.col("stop")))
+    whole = grid.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return cut.select(*grid.columns, *[(10_000 * (F.col(v) / F.first(v, ignorenulls=True).over(whole) - 1)).alias(f"{v}_bps") for v in values])
+
+
 def period_summary(periods: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Counts, mean and median duration and weighted occupancy of periods."""
     return periods.groupBy(*by).agg(

@@ -34,11 +34,16 @@ RTH_TRADE_CONDITIONS = (0, 3, 14, 36, 37, 41, 60)
 EXTENDED_TRADE_CONDITIONS = (0, 3, 12, 14, 36, 37, 41, 60)
 CAUSAL_CORRECTIONS = (0, 7, 8)
 KNOWN_CORRECTIONS = (0, 1, 7, 8, 10, 11, 12)
-KNOWN_TRADE_CONDITIONS = (*range(31), *range(32, 57), 59, 60)
-KNOWN_QUOTE_CONDITIONS = (*range(-1, 24), *range(25, 44), 71, *range(80, 93), 94)
-KNOWN_QUOTE_INDICATORS = (*range(1, 10), *range(11, 31), 304, *range(501, 510), *range(601, 606), *range(901, 909))
-INVALID_QUOTE_CODES = (-1, 2, 15, 19, 20, 32, 34, 80, 83, 84)
+KNOWN_TRADE_CONDITIONS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 32, 33, 34, 35, 36, 37, 38, 39, 40, 41, 42, 43, 44, 45, 46, 47, 48, 49, 50, 51, 52, 53, 54, 55, 56, 59, 60)
+KNOWN_QUOTE_CONDITIONS = (-1, 0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 25, 26, 27, 28, 29, 30, 31, 32, 33, 34, 35, 36, 37, 38, 39, 40, 41, 42, 43, 71, 80, 81, 82, 83, 84, 85, 86, 87, 88, 89, 90, 91, 92, 94)
+KNOWN_QUOTE_INDICATORS = (1, 2, 3, 4, 5, 6, 7, 8, 9, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 304, 501, 502, 503, 504, 505, 506, 507, 508, 509, 601, 602, 603, 604, 605, 901, 902, 903, 904, 905, 906, 907, 908)
+ONE_SIDED_QUOTE_CODES = (2, 34)
+NONFIRM_QUOTE_CODES = (20,)
+CLOSED_QUOTE_CODES = (15, 19, 32)
+INVALID_VALUE_QUOTE_CODES = (-1, 80, 83)
+CROSSED_QUOTE_CODES = (84,)
 LOCKED_QUOTE_CODE = 85
+INVALID_QUOTE_CODES = (*ONE_SIDED_QUOTE_CODES, *NONFIRM_QUOTE_CODES, *CLOSED_QUOTE_CODES, *INVALID_VALUE_QUOTE_CODES, *CROSSED_QUOTE_CODES)
 MOST_CODES = 64
 
 

@@ -247,6 +247,19 @@ def oracle_sql() -> dict[str, str]:
         "binned_ecdf": g + """, l AS (SELECT session, 'dollars' AS metric, CASE WHEN dollars + 0.00123 = 0 THEN 0 ELSE floor((dollars + 0.00123) / 5.0)::BIGINT + 1 END AS bin FROM g WHERE n > 0 UNION ALL SELECT session, 'mean', CASE WHEN dollars / n = 0 THEN 0 ELSE floor(ln(1 + dollars / n) / 0.25)::BIGINT + 1 END FROM g WHERE n > 0),
             c AS (SELECT metric, bin, session, grouping(session) = 1 AS pooled, count(*) AS n FROM l GROUP BY GROUPING SETS ((metric, bin, session), (metric, bin)))
             SELECT *, CAST(sum(n) OVER (PARTITION BY metric, pooled, session ORDER BY bin) AS BIGINT) AS cumulative_n, round(sum(n) OVER (PARTITION BY metric, pooled, session ORDER BY bin) / sum(n) OVER (PARTITION BY metric, pooled, session), 6) AS share FROM c""",
+        "activity_ecdf": g + """, v AS (SELECT session, dollars AS x, CASE WHEN dollars = 0 THEN 0 ELSE floor(ln(1 + dollars) / 0.05)::BIGINT + 1 END AS bin FROM g WHERE n > 0),
+            f AS (SELECT CASE WHEN grouping(session) = 1 THEN 'pooled' ELSE session END AS session, bin, count(*) AS n, count(*) FILTER (WHERE x >= 30.005) AS passes, round(min(x), 6) AS low, round(max(x), 6) AS high FROM v GROUP BY GROUPING SETS ((session, bin), (bin)))
+            SELECT *, CAST(sum(n) OVER (PARTITION BY session ORDER BY bin) AS BIGINT) AS cumulative_n, round(sum(n) OVER (PARTITION BY session ORDER BY bin) / sum(n) OVER (PARTITION BY session), 6) AS share FROM f""",
+        "panel_summary": g + """, m AS (SELECT event_type, price AS x, CASE WHEN n > 2 THEN dollars / n END AS y FROM g),
+            p AS (SELECT event_type, count(*) AS s, count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) AS v, count(*) FILTER (WHERE x IS NULL AND y IS NOT NULL) AS xi, count(*) FILTER (WHERE y IS NULL AND x IS NOT NULL) AS yi, count(*) FILTER (WHERE x IS NULL AND y IS NULL) AS b,
+              count(*) FILTER (WHERE x BETWEEN 0.1 AND 200 AND y BETWEEN 0 AND 100) AS pl, count(*) FILTER (WHERE y IS NOT NULL AND x = 0) AS xz, count(*) FILTER (WHERE x IS NOT NULL AND y = 0) AS yz FROM m GROUP BY 1)
+            SELECT CAST(sum(s) AS BIGINT) AS selected, CAST(sum(v) AS BIGINT) AS pair_valid, CAST(sum(xi) AS BIGINT) AS x_invalid_only, CAST(sum(yi) AS BIGINT) AS y_invalid_only, CAST(sum(b) AS BIGINT) AS both_invalid, CAST(sum(pl) AS BIGINT) AS plotted, CAST(sum(xz) AS BIGINT) AS x_zero,
+              CAST(sum(yz) AS BIGINT) AS y_zero, count(*) AS selected_members, count(*) FILTER (WHERE v > 0) AS contributing_members, (SELECT event_type FROM p ORDER BY v DESC, event_type DESC LIMIT 1) AS largest_member, max(v) AS largest_pair_valid, CAST(sum(v) - sum(pl) AS BIGINT) AS off_axis, round(max(v) / sum(v), 6) AS largest_share FROM p""",
+        "active_hours": g + "SELECT day, count(*) AS represented, count(*) FILTER (WHERE n > 0) AS valid, count(*) FILTER (WHERE n >= 3 AND dollars >= 60.005) AS pass, count(*) FILTER (WHERE n > 0 AND NOT (n >= 3 AND dollars >= 60.005)) AS fail, count(*) FILTER (WHERE n = 0) AS unavailable, count(*) FILTER (WHERE n >= 3 AND dollars >= 60.005) / 1.0 AS active_hours FROM g GROUP BY 1",
+        "daily_members": g + "SELECT day, count(DISTINCT event_type) AS completed_members, count(DISTINCT event_type) * 24.0::DOUBLE AS represented_hours FROM g WHERE n > 0 GROUP BY 1",
+        "view_crossings": st + f"SELECT {_count(f'common_eligible AND dollars_{FAST} >= 80.005 AND dollars_{SLOW} < 80.005', 'fast_above_slow_below')}, {_count(f'common_eligible AND dollars_{SLOW} >= 80.005 AND dollars_{FAST} < 80.005', 'slow_above_fast_below')}, {_count('fast_match AND NOT slow_match', 'fast_only')}, {_count('slow_match AND NOT fast_match', 'slow_only')}, {_count(f'fast_match AND NOT slow_match AND dollars_{FAST} < 80.005', 'fast_only_low')}, {_count(f'slow_match AND NOT fast_match AND dollars_{SLOW} < 80.005', 'slow_only_low')} FROM st",
+        "dimension_totals": st + f"SELECT CASE WHEN grouping(event_type) = 0 AND grouping(day) = 0 THEN 'member' WHEN grouping(day) = 0 THEN 'day' WHEN grouping(event_type) = 0 THEN 'type' ELSE 'overall' END AS scope, event_type, day, count(*) AS represented, {_count('common_eligible', 'common_eligible')}, {_count('fast_match', 'matching')}, {_count(f'fast_match AND dollars_{FAST} < 80.005', 'below_floor')}, {_count('fast_own_match', 'own_matching')} FROM st GROUP BY GROUPING SETS ((event_type, day), (day), (event_type), ())",
+        "feature_catalog": "SELECT \"table\", family, source, CAST(fields AS BIGINT) AS fields FROM (VALUES ('features', 'return', 'quote', 2), ('features', 'participation', 'quote', 2), ('features', 'spread', 'quote', 2), ('features', 'activity', 'trade', 6), ('features', 'bid_size', 'quote', 2), ('features', 'ask_size', 'quote', 2), ('features', 'ratio', 'quote', 2), ('features', 'trade_age', 'trade', 2), ('features', 'quote_age', 'quote', 2), ('features', 'midpoint_change_age', 'quote', 2), ('current_ages', 'trade_current_age', 'trade', 1), ('current_ages', 'quote_current_age', 'quote', 1), ('current_ages', 'midpoint_change_current_age', 'quote', 1)) t(\"table\", family, source, fields)",
         "quantile_grid": "WITH p AS (SELECT o_orderpriority, count(o_totalprice) AS n, quantile_disc(o_totalprice, [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]) AS v FROM orders GROUP BY 1) SELECT o_orderpriority, n, unnest([0.0::DOUBLE, 0.05::DOUBLE, 0.25::DOUBLE, 0.5::DOUBLE, 0.75::DOUBLE, 0.95::DOUBLE, 1.0::DOUBLE]) AS q, unnest(v) AS value FROM p",
         "dollar_profile": st + ", l AS (" + " UNION ALL ".join(f"SELECT '{v}' AS view, '{p}' AS population, dollars_{h} AS x FROM st WHERE {c} AND dollars_{h} IS NOT NULL" for v, h in (("fast", FAST), ("slow", SLOW)) for p, c in (("common", "common_eligible"), ("matching", "fast_match")))
         + ") SELECT view, population, count(*) AS n, round(min(x), 6) AS minimum, " + ", ".join(f"round(quantile_disc(x, {q}), 6) AS p{p}" for q, p in ((0.01, 1), (0.05, 5), (0.1, 10), (0.25, 25), (0.5, 50))) + ", round(count(*) FILTER (WHERE x < 80.005) / count(*), 6) AS share_below FROM l GROUP BY 1, 2",

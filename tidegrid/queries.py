@@ -17,8 +17,10 @@ from tidegrid.functions.numbers import exact_shares, return_bps, sorted_quantile
 from tidegrid.grid import Grid
 from tidegrid.operators import accounting as A
 from tidegrid.operators import distributions as D
+from tidegrid.operators import features as Fe
 from tidegrid.operators import intervals as I
 from tidegrid.operators import periods as P
+from tidegrid.operators import population as Po
 from tidegrid.operators import sampling as Sa
 from tidegrid.operators import screen as Sc
 from tidegrid.operators import validation as V
@@ -155,9 +157,7 @@ def window_slice(spark, sf):
     """The last 48 hours of each member, rebased to their first price, in basis points."""
     df = hourly(spark, sf)
     last = df.groupBy("event_type").agg(F.max("end_s").alias("stop"))
-    cut = df.join(last, "event_type").where(F.col("end_s") > F.col("stop") - 48 * HOUR)
-    first = F.first("price", ignorenulls=True).over(GRID.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return cut.select("event_type", "end_s", F.round(10_000 * (F.col("price") / first - 1), 6).alias("rebased_bps"))
+    return P.fixed_window(df, GRID, last, 48, ["price"]).select("event_type", "end_s", F.round("price_bps", 6).alias("rebased_bps"))
 
 
 # --- runs, periods, intervals ------------------------------------------------
@@ -395,6 +395,46 @@ def binned_ecdf(spark, sf):
     return D.binned_ecdf(df, {"dollars": B.linear_bin(F.col("dollars") + 0.00123, 5.0), "mean": B.log1p_bin(F.col("mean"), 0.25)}, ["session"], F.col("n") > 0).withColumns(rounded("share"))
 
 
+def activity_ecdf(spark, sf):
+    df = hourly(spark, sf)
+    x = F.when(F.col("n") > 0, F.col("dollars"))
+    return D.activity_ecdf(df, x, B.log1p_bin(x, 0.05), "session", x >= 30.005).withColumns(rounded("low", "high", "share"))
+
+
+def panel_summary(spark, sf):
+    df = hourly(spark, sf).withColumn("mean", F.when(F.col("n") > 2, F.col("dollars") / F.col("n")))
+    got = D.panel_summary(df, KEYS, "price", "mean", B.Axis.spaced(0.1, 200, 20, log=True), B.Axis.spaced(0, 100, 20, log=False))
+    return got.withColumns(rounded("largest_share"))
+
+
+def active_hours(spark, sf):
+    df = hourly(spark, sf)
+    return Po.active_hours(df, ["day"], F.col("n") > 0, (F.col("n") >= 3) & (F.col("dollars") >= 60.005), 1.0)
+
+
+def daily_members(spark, sf):
+    return Po.daily_members(hourly(spark, sf).where("n > 0").select("day", "event_type").distinct(), "day", 24.0)
+
+
+def view_crossings(spark, sf):
+    df = studied(spark, sf)
+    return A.view_crossings(df, F.col("common_eligible"), F.col(f"dollars_hl{FAST}s"), F.col(f"dollars_hl{SLOW}s"), 80.005, F.col("fast_match"), F.col("slow_match"))
+
+
+def dimension_totals(spark, sf):
+    """Study totals by member, session and overall from one aggregation."""
+    df = studied(spark, sf)
+    low = F.col("fast_match") & F.coalesce(F.col(f"dollars_hl{FAST}s") < 80.005, F.lit(False))
+    measures = [F.count("*").alias("represented"), A.count_if(F.col("common_eligible")).alias("common_eligible"), A.count_if(F.col("fast_match")).alias("matching"), A.count_if(low).alias("below_floor"), A.count_if(F.col("fast_own_match")).alias("own_matching")]
+    return A.scoped(df, {"member": ["event_type", "day"], "day": ["day"], "type": ["event_type"], "overall": ()}, measures)
+
+
+def feature_catalog(spark, sf):
+    """The 27 queryable fields of the default configuration."""
+    rows = [tuple(f.values()) for f in Fe.feature_catalog()]
+    return spark.createDataFrame(rows, ", ".join(f"`{k}` string" for k in Fe.feature_catalog()[0])).groupBy("table", "family", "source").agg(F.count("*").alias("fields"))
+
+
 def quantile_grid(spark, sf):
     df = spark.read.parquet(f"{sf}/orders.parquet")
     return D.discrete_quantiles(df, "o_totalprice", [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0], ["o_orderpriority"])
@@ -459,6 +499,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         selection_segments, window_slice, gap_periods, period_summary, period_variants, best_window, directional_stretches, top_stretches, inside_period_semi, period_overlap,
         interval_union, dollar_periods, period_reproduction, availability_scopes, overlap_by_scope, disagreements, filter_contribution, membership, membership_change, threshold_crossings, set_algebra,
         ew_rates, ew_rms_participation, age_p90, current_ages, asof_prevailing, interval_integral, screen_two_bars, screen_denominators, exact_ecdf, ecdf_quantiles, joint_histogram, joint_coverage,
-        expanded_joint, binned_ecdf, quantile_grid, dollar_profile, running_shares, stratified_sample, validation_report, grid_check, order_violations, key_alignment, exact_share_parse, multi_join_star,
+        expanded_joint, binned_ecdf, activity_ecdf, panel_summary, active_hours, daily_members, view_crossings, dimension_totals, feature_catalog, quantile_grid, dollar_profile, running_shares, stratified_sample, validation_report, grid_check, order_violations, key_alignment, exact_share_parse, multi_join_star,
     )
     return {f.__name__: f for f in own} | {"strict_runs": strict_runs_query}

@@ -61,3 +61,18 @@ def normalize_stream(events: DataFrame, schema: T.StructType, day: str, symbol:
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in events.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
     out = events.select(F.lit(day).alias("session_date"), F.lit(symbol).alias("symbol"), *cols)
     return out.repartitionByRange("sip_timestamp").sortWithinPartitions("sip_timestamp", "sequence_number")
+
+
+#: Columns of a minute-bar page, times in milliseconds.
+MINUTE_PAGE = T.StructType([T.StructField("t", T.LongType()), T.StructField("n", T.DoubleType()), *[T.StructField(k, T.DoubleType()) for k in "vochl"]])
+
+
+def minute_bars(rows: DataFrame, symbol: str, start: int, end: int) -> DataFrame:
+    """Pages of minute bars as (symbol, window_start, transactions, ..., session bounds); a bar outside the session fails the job."""
+    at = F.col("t") * 1_000_000
+    outside = ~F.coalesce((at >= start) & (at < end), F.lit(False))
+    names = {"n": "transactions", "v": "volume", "o": "open", "c": "close", "h": "high", "l": "low"}
+    return rows.select(
+        F.lit(symbol).alias("symbol"), F.when(outside, F.raise_error(F.lit("minute outside its session")).cast("bigint")).otherwise(at).alias("window_start"),
+        *[F.col(k).alias(v) for k, v in names.items()], F.lit(start).alias("session_start"), F.lit(end).alias("session_end"),
+    )
