@@ -101,6 +101,18 @@ def test_typed_query_and_export(spark, stored, tmp_path):
     assert late.query([{"field": "trade_age_seconds", "operator": ">=", "value": 0}]).accounting().agg(F.max("selected")).first()[0] == SECONDS - 50
 
 
+def test_runs_shuffle_each_row_once(spark, stored):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = Engine(spark, stored, verify=False).query([{"field": "trade_rate_per_second_hl5s", "operator": ">", "value": 2.4}, {"field": "quote_age_seconds", "operator": "<=", "value": 1}])
+        plan = q.evaluated().groupBy("session_date", "symbol").count()._jdf.queryExecution().executedPlan().toString()
+        # features, base and the small table of ranges are dealt by member once each; nothing is dealt again
+        assert plan.count("Exchange hashpartitioning") <= 3 and "Exchange hashpartitioning(session_date" in plan
+        assert "interval_end_ns" not in "".join(x.split("hashpartitioning")[1].split(")")[0] for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_export_and_manifest(spark, stored, tmp_path):
     e = Engine(spark, stored, verify=False)
     m = e.sql("SELECT symbol, count(*) AS n FROM features GROUP BY symbol").export_parquet(f"file://{tmp_path}/x")

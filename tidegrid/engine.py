@@ -56,6 +56,8 @@ class Engine:
 
     def __init__(self, spark: SparkSession, root: str, selection: Selection = Selection(), *, verify: bool = True, grid: Grid = Grid()):
         self.spark, self.root, self.selection, self.grid = spark, root, selection, grid
+        # Tables dealt by member keys may be joined on member and time without being dealt again.
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         self.catalog = read_catalog(spark, root)
         if verify and self.catalog["files"]:
             verify_files(spark, root, self.catalog)
@@ -131,8 +133,14 @@ class Query:
     def evaluated(self) -> DataFrame:
         e = self.engine
         names = list(dict.fromkeys([*self.predicates.fields, *self.display]))
+        by = {f["name"]: f for f in e.fields}
+        pick = lambda t: [c for n in names if by[n]["table"] == t for c in (n, by[n]["reason_mask"])]
         context = ["halt_active", *[c for s in self.predicates.sources for c in (f"{s}_continuity_id", f"{s}_continuity_break_in_second")]]
-        rows = e.projected(names).join(e.table("base").select(*e.grid.columns, *context), e.grid.columns)
+        # Ages and context are of the same table, so it is read once; both sides are dealt by member, which the
+        # join on member and time and the windows of runs both accept, so each row is shuffled once.
+        rows = e.table("base").select(*e.grid.columns, *pick("current_ages"), *context).repartition(*e.grid.keys)
+        if pick("features"):
+            rows = e.table("features").select(*e.grid.columns, *pick("features")).repartition(*e.grid.keys).join(rows, e.grid.columns)
         return self.predicates.evaluate(annotate(rows, e.selection.ranges(e.members), e.grid))
 
     def observations(self) -> DataFrame:
