@@ -121,7 +121,6 @@ def age_features(base: DataFrame, grid: Grid, config: FeatureConfig = FeatureCon
     for side in ("quote", "trade"):
         if f"{side}_interior_break" not in df.columns:
             df = df.withColumn(f"{side}_interior_break", F.lit(False))
-    out: dict[str, Column] = {}
     for side in ("quote", "trade"):
         running = grid.window().rowsBetween(Window.unboundedPreceding, 0)
         cleared = F.col("halt_active") | F.col(f"{side}_continuity_break_in_second")
@@ -129,27 +128,30 @@ def age_features(base: DataFrame, grid: Grid, config: FeatureConfig = FeatureCon
         append = ~F.col("halt_active") & (F.col(f"{side}_observed_duration_ns") == full_ns) & ~F.col(f"{side}_interior_break")
         df = df.withColumn(f"_a_{side}", append)
         df = df.withColumn(f"_slot_{side}", F.sum(append.cast("int")).over(grid.window(f"_e_{side}").rowsBetween(Window.unboundedPreceding, 0)))
-    work: dict[str, Column] = {}
-    for age in AGES:
-        side = source_of(age)
-        known = F.when(F.col(f"_a_{side}") & (F.col(f"{age}_age_reason_mask") == 0), F.col(f"{age}_age_seconds"))
-        for w in config.age_windows:
-            frame = Window.partitionBy(*grid.keys, f"_e_{side}").orderBy(f"_slot_{side}").rangeBetween(1 - w, 0)
-            work |= {f"_v_{age}_{w}": F.sort_array(F.collect_list(known).over(frame))}
-    df = df.withColumns(work)
-    for age in AGES:
-        side = source_of(age)
-        for w in config.age_windows:
-            values, slots = F.col(f"_v_{age}_{w}"), F.least(F.col(f"_slot_{side}"), F.lit(w)).cast("int")
-            count = F.size(values)
-            reason = M.any_of(
-                M.source_bit(F.col(f"{side}_source_status")), M.bit(F.col("halt_active"), M.HALT), M.bit(slots < w, M.STARTUP), M.bit(count == 0, M.NO_SUPPORTED_DATA),
-                M.bit((count > 0) & (slots >= w) & (count < math.ceil(config.age_coverage * w)), M.LOW_COVERAGE),
-            )
-            name = f"{age}_age_p90_seconds_window{w}s"
-            out |= {name: F.when(reason == 0, sorted_quantile(values, q)), name + "_reason_mask": reason}
-            out |= {f"{age}_age_sample_count_window{w}s": count, f"{age}_age_elapsed_slots_window{w}s": slots}
-    df = df.withColumns(out)
+    # One source after the other: its window arrays become quantiles before the next sort carries the rows on.
+    for side in ("quote", "trade"):
+        ages = [a for a in AGES if source_of(a) == side]
+        part = [*grid.keys, f"_e_{side}"]
+        arrays = {}
+        for age in ages:
+            known = F.when(F.col(f"_a_{side}") & (F.col(f"{age}_age_reason_mask") == 0), F.col(f"{age}_age_seconds"))
+            for w in config.age_windows:
+                frame = Window.partitionBy(*part).orderBy(f"_slot_{side}").rangeBetween(1 - w, 0)
+                arrays[f"_v_{age}_{w}"] = F.sort_array(F.collect_list(known).over(frame))
+        df = df.withColumns(arrays)
+        out: dict[str, Column] = {}
+        for age in ages:
+            for w in config.age_windows:
+                values, slots = F.col(f"_v_{age}_{w}"), F.least(F.col(f"_slot_{side}"), F.lit(w)).cast("int")
+                count = F.size(values)
+                reason = M.any_of(
+                    M.source_bit(F.col(f"{side}_source_status")), M.bit(F.col("halt_active"), M.HALT), M.bit(slots < w, M.STARTUP), M.bit(count == 0, M.NO_SUPPORTED_DATA),
+                    M.bit((count > 0) & (slots >= w) & (count < math.ceil(config.age_coverage * w)), M.LOW_COVERAGE),
+                )
+                name = f"{age}_age_p90_seconds_window{w}s"
+                out |= {name: F.when(reason == 0, sorted_quantile(values, q)), name + "_reason_mask": reason}
+                out |= {f"{age}_age_sample_count_window{w}s": count, f"{age}_age_elapsed_slots_window{w}s": slots}
+        df = df.withColumns(out).drop(*arrays)
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
