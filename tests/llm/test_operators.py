@@ -392,6 +392,15 @@ def test_bloom(spark):
     assert hit[::2].all() and hit[1::2].mean() < 0.05
 
 
+def test_scratch_is_discarded(spark):
+    from tidegrid.llm import runtime
+
+    table = runtime.staged(spark.range(7), "demo")
+    assert table.count() == 7 and runtime.scratch(spark) in table.inputFiles()[0]
+    spark2 = spark.newSession()
+    assert runtime.scratch(spark2) == runtime.scratch(spark)
+
+
 # pipeline ------------------------------------------------------------------------------
 
 

@@ -51,6 +51,17 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full
 
 
+def scratch(spark: SparkSession) -> str:
+    """This application's folder of written tables in the shared folder."""
+    return f"{shared_dir(spark)}/tidegrid-{spark.sparkContext.applicationId}"
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete this application's written tables; results that still read them must be written by then."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage ends here.
 
@@ -58,7 +69,7 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     later job has to be run again.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
