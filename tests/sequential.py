@@ -193,6 +193,8 @@ def strict_runs(rows, identity, sources):
                 close("selection_boundary")
             elif any(r[f"{s}_continuity_id"] != prev[f"{s}_continuity_id"] or r[f"{s}_continuity_break_in_second"] for s in sources):
                 close("source_continuity")
+        if r.get("before"):
+            close(r["before"])
         if r["halt_active"]:
             close("halt")
         elif r["status"] == "matching":
@@ -201,6 +203,8 @@ def strict_runs(rows, identity, sources):
             cur["last"], cur["count"] = r["interval_end_ns"], cur["count"] + 1
         else:
             close(r["status"])
+        if r.get("after"):
+            close(r["after"])
         prev = r
     close("selection_boundary")
     return out

@@ -46,7 +46,8 @@ def test_three_states(spark):
     assert [r.failing_fields for r in got] == [[], ["a", "b"], [], [], ["a"]] and [r.unavailable_fields for r in got] == [[], [], ["a"], ["a"], ["b"]]
 
 
-def test_strict_runs_against_sequential(spark):
+@pytest.mark.parametrize("explicit", [0.0, 0.04])
+def test_strict_runs_against_sequential(spark, explicit):
     rng = random.Random(2)
     rows = []
     for d, s in (("2026-01-02", "A"), ("2026-01-02", "B"), ("2026-01-05", "A")):
@@ -57,9 +58,10 @@ def test_strict_runs_against_sequential(spark):
             rows.append({
                 "session_date": d, "symbol": s, "interval_end_ns": (i + 1) * NS, "selection_segment_id": f"{d}/{s}:{i // 300}", "status": rng.choices(["matching", "nonmatching", "unavailable"], [8, 2, 1])[0],
                 "halt_active": rng.random() < 0.02, "quote_continuity_id": cont, "quote_continuity_break_in_second": brk,
+                "before": "given_before" if rng.random() < explicit else None, "after": "given_after" if rng.random() < explicit else None,
             })
-    df = spark.createDataFrame([tuple(r.values()) for r in rows], "session_date string, symbol string, interval_end_ns long, selection_segment_id string, status string, halt_active boolean, quote_continuity_id long, quote_continuity_break_in_second boolean")
-    got = strict_runs(df.repartition(5), Grid(), "q", sources=["quote"]).orderBy("run_ordinal").collect()
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "session_date string, symbol string, interval_end_ns long, selection_segment_id string, status string, halt_active boolean, quote_continuity_id long, quote_continuity_break_in_second boolean, before string, after string")
+    got = strict_runs(df.repartition(5), Grid(), "q", sources=["quote"], before="before", after="after").orderBy("run_ordinal").collect()
     want = S.strict_runs(rows, "q", ["quote"])
     assert [((r.session_date, r.symbol), r.first_endpoint, r.last_endpoint, r.match_count, r.preceding_reason, r.closure_reason, r.run_ordinal) for r in got] == [
         (w["member"], w["first"], w["last"], w["count"], w["preceding"], w["closure"], w["ordinal"]) for w in want
