@@ -109,14 +109,19 @@ def _anchor_rows(batches):
             rows, at, lo, hi, gram, context = _contexts(raw, offs)
             if not len(at):
                 continue
-            base = offs[:-1][rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (gram, context, k1[i + rows], k2[i + rows], (at - base).astype(np.int32), (lo - base).astype(np.int32), (hi - base).astype(np.int32))],
-                names=["gram", "context", "k1", "k2", "pos", "lo", "hi"],
-            )
+            # Place and reach to both sides, at most LEFT and LENGTH, in one number.
+            place = ((at - offs[:-1][rows]) << 16) | ((at - lo) << 8) | (hi - at)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, context, k1[i + rows], k2[i + rows], place)], names=["gram", "context", "k1", "k2", "place"])
 
 
-ANCHOR_SCHEMA = "gram long, context long, k1 long, k2 long, pos int, lo int, hi int"
+ANCHOR_SCHEMA = "gram long, context long, k1 long, k2 long, place long"
+
+
+def _unpacked(anchor_rows: DataFrame) -> DataFrame:
+    """``place`` as pos, lo and hi."""
+    pos, place = F.shiftright("place", 16), F.col("place")
+    bounds = {"pos": pos, "lo": pos - F.shiftright("place", 8).bitwiseAND(255), "hi": pos + place.bitwiseAND(255)}
+    return anchor_rows.withColumns({k: v.cast("int") for k, v in bounds.items()}).drop("place")
 
 
 def _extract(batches):
@@ -265,9 +270,8 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     by_context = counted.groupBy("gram", "context").agg(F.sum("n").alias("copies"))
     same_gram = Window.partitionBy("gram")
     often = by_context.withColumns({"total": F.sum("copies").over(same_gram), "kinds": F.count("*").over(same_gram)}).where("total > 1")
-    repeated = staged(
-        found.join(often.select("gram", "context", "copies", "kinds"), ["gram", "context"]).select(*found.columns, "copies", "kinds"), "op8-anchors"
-    )
+    kept = found.join(often.select("gram", "context", "copies", "kinds"), ["gram", "context"]).select(*found.columns, "copies", "kinds")
+    repeated = _unpacked(staged(kept, "op8-anchors"))
     release(spark)
     open_ = repeated.where("kinds > 1")
     contexts = staged(
