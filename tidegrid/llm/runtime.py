@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of an Arrow batch handed to Python; bounds a batch of long texts.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 BATCH_BYTES = 16 << 20
 
 
