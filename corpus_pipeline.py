@@ -14,6 +14,8 @@ from tidegrid.llm import op4_importance, op5_hyperminhash, op6_bpe, op7_mixing,
 from tidegrid.llm.runtime import documents, shared_dir, staged
 
 RANKS = "byte_bpe_50k.tiktoken"
+#: The near-dedup stage's least similarity of shingles of five words.
+NEAR_PERCENT = 85
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates stays."""
-    return op5_hyperminhash.without_near_duplicates(docs)
+    return op5_hyperminhash.without_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

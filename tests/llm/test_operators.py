@@ -181,6 +181,21 @@ def test_near_duplicate_edges(odd, empty, no_ids):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in op5.near_duplicates(odd).where("kept").collect()}
 
 
+def test_near_duplicates_at_another_threshold(spark):
+    assert op5.bands_for(85) == op5.BANDS
+    for percent in (70, 80, 85, 95):
+        assert (1 - (percent / 100) ** op5.ROWS) ** op5.bands_for(percent) <= op5.MISS
+    rows = []
+    for k in range(40):  # the last 11 of 104 words differ: 89 of 111 shingles are common
+        base = [f"w{k}x{i}" for i in range(104)]
+        rows += [(10 * k, " ".join(base)), (10 * k + 1, " ".join(base[:93] + [f"v{k}x{i}" for i in range(11)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent, left in ((80, 40), (85, 80)):
+        want = Counter(i for (i, _), (_, c) in zip(rows, brute.near_components(rows, percent), strict=True) if i == c)
+        got = Counter(r.doc_id for r in op5.without_near_duplicates(docs, percent=percent).collect())
+        assert got == want and len(got) == left
+
+
 def test_register_estimates():
     rng = np.random.default_rng(2)
     a = np.unique(rng.integers(0, 1 << 63, 2000, dtype=np.uint64))

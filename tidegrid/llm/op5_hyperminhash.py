@@ -1,6 +1,6 @@
 """Near-duplicate detection by HyperMinHash.
 
-Each text's set of distinct word shingles gives ``BANDS * ROWS`` registers.  A
+Each text's set of distinct word shingles gives ``ROWS`` registers a band.  A
 register is the least of a bucket's hash values, stored as its leading-zero
 count (6 bits) and the next 10 mantissa bits.  Equal sets form one class.
 Class representatives are banded by their compressed registers; in each
@@ -11,8 +11,9 @@ in buckets that still hold several components the remaining pairs are
 compared too, in blocks and on full sets, so links that miss the least member
 are not lost.
 
-A pair at the threshold shares no band with probability (1 - 0.85^4)^20,
-about 4e-7, and falls below the estimate filter with about 3e-7.
+The number of bands follows the threshold, so that a pair at it shares no band
+with probability of at most 4e-7: 20 bands at 0.85, 28 at 0.8.  It falls below
+the estimate filter with about 3e-7.
 
 Defined results: a null text, or one without words, has the empty set, is
 linked with nothing and is kept; a text of one to four words has its whole
@@ -23,6 +24,9 @@ kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,11 +38,22 @@ from tidegrid.llm.components import components
 from tidegrid.llm.runtime import release, session, staged
 
 BANDS, ROWS = 20, 4
+#: Bound of the probability that a pair at the threshold shares no band.
+MISS = 4e-7
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: Members of a block of a large bucket.
 BLOCK = 1024
-_SEEDS = np.random.default_rng(55).integers(0, 1 << 63, (2, REGISTERS), dtype=np.uint64) * K.U64(2) + K.U64(1)
+
+
+def bands_for(percent: int) -> int:
+    """The least number of bands that misses a pair at the threshold with at most ``MISS``."""
+    return max(1, math.ceil(math.log(MISS) / math.log1p(-min(percent / 100, 0.999) ** ROWS)))
+
+
+@lru_cache(8)
+def _seeds(count: int) -> np.ndarray:
+    return np.random.default_rng(55).integers(0, 1 << 63, (2, count), dtype=np.uint64) * K.U64(2) + K.U64(1)
 
 
 def leading_zeros(x: np.ndarray) -> np.ndarray:
@@ -57,16 +72,17 @@ def compress(minimum: np.ndarray) -> np.ndarray:
     return ((zeros << K.U64(MANTISSA)) | mantissa).astype(np.uint16)
 
 
-def registers(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def registers(keys: np.ndarray, bounds: np.ndarray, count: int = REGISTERS) -> np.ndarray:
     """Registers of each row's set; rows with an empty set get zeros."""
-    out = np.zeros((len(bounds) - 1, REGISTERS), np.uint16)
+    seeds = _seeds(count)
+    out = np.zeros((len(bounds) - 1, count), np.uint16)
     full = np.flatnonzero(np.diff(bounds))
     if len(full):
-        least = np.empty((len(full), REGISTERS), np.uint64)
-        for k in range(REGISTERS):
-            x = (keys ^ _SEEDS[0, k]) * _SEEDS[1, k]
+        least = np.empty((len(full), count), np.uint64)
+        for k in range(count):
+            x = (keys ^ seeds[0, k]) * seeds[1, k]
             x ^= x >> K.U64(32)
-            x *= _SEEDS[1, (k + 1) % REGISTERS]
+            x *= seeds[1, (k + 1) % count]
             least[:, k] = np.minimum.reduceat(x, bounds[:-1][full])
         out[full] = compress(least)
     return out
@@ -87,37 +103,40 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
     return np.clip(((a == b).mean(1) - chance) / (1 - chance), 0, 1)
 
 
-def _sign(batches):
-    for batch in batches:
-        n_all, hi, lo, regs = [], [], [], []
-        for _, _, raw, offs in K.chunks(batch.column(2)):
-            keys, bounds = K.shingle_sets(raw, offs)
-            total = np.zeros((2, len(keys) + 1), np.uint64)
-            np.cumsum(K.mix(keys), out=total[0, 1:])
-            np.cumsum(K.mix(keys ^ K.U64(0x5851F42D4C957F2D)), out=total[1, 1:])
-            hi.append((total[0, bounds[1:]] - total[0, bounds[:-1]]).view(np.int64))
-            lo.append((total[1, bounds[1:]] - total[1, bounds[:-1]]).view(np.int64))
-            n_all.append(np.diff(bounds))
-            regs.append(registers(keys, bounds))
-        cat = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64))
-        body = np.concatenate(regs).tobytes() if regs else b""
-        offsets = (np.arange(batch.num_rows + 1) * (2 * REGISTERS)).astype(np.int32)
-        packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(body)])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), cat(n_all), cat(hi), cat(lo), packed, batch.column(2)],
-            names=["doc_id", "row", "n", "hi", "lo", "regs", "text"],
-        )
+def _signer(count: int):
+    def run(batches):
+        for batch in batches:
+            n_all, hi, lo, regs = [], [], [], []
+            for _, _, raw, offs in K.chunks(batch.column(2)):
+                keys, bounds = K.shingle_sets(raw, offs)
+                total = np.zeros((2, len(keys) + 1), np.uint64)
+                np.cumsum(K.mix(keys), out=total[0, 1:])
+                np.cumsum(K.mix(keys ^ K.U64(0x5851F42D4C957F2D)), out=total[1, 1:])
+                hi.append((total[0, bounds[1:]] - total[0, bounds[:-1]]).view(np.int64))
+                lo.append((total[1, bounds[1:]] - total[1, bounds[:-1]]).view(np.int64))
+                n_all.append(np.diff(bounds))
+                regs.append(registers(keys, bounds, count))
+            cat = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64))
+            body = np.concatenate(regs).tobytes() if regs else b""
+            offsets = (np.arange(batch.num_rows + 1) * (2 * count)).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), cat(n_all), cat(hi), cat(lo), packed, batch.column(2)],
+                names=["doc_id", "row", "n", "hi", "lo", "regs", "text"],
+            )
+
+    return run
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column: pa.Array, count: int) -> np.ndarray:
     raw, _ = K.buffers(column)
-    return np.ascontiguousarray(raw).view(np.uint16).reshape(-1, REGISTERS)
+    return np.ascontiguousarray(raw).view(np.uint16).reshape(-1, count)
 
 
-def _estimator(threshold: float):
+def _estimator(threshold: float, count: int):
     def run(batches):
         for batch in batches:
-            a, b = _matrix(batch.column(2)), _matrix(batch.column(4))
+            a, b = _matrix(batch.column(2), count), _matrix(batch.column(4), count)
             n, m = np.array(batch.column(3)).astype(float), np.array(batch.column(5)).astype(float)
             keep = pa.array(estimate(a, b, n, m) >= threshold) if batch.num_rows else pa.array([], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["u", "v"])
@@ -179,7 +198,7 @@ class Postings:
         return np.bincount(self.owner[at], minlength=self.n)
 
 
-def _blocks(threshold: float, percent: int):
+def _blocks(threshold: float, percent: int, count: int):
     """Links between different components in one pair of blocks of a bucket.
 
     Pairs whose estimate passes are confirmed on the full sets right here, one
@@ -191,7 +210,7 @@ def _blocks(threshold: float, percent: int):
     def run(key, table):
         table = table.combine_chunks()
         node, root, n = (np.array(table.column(c)).copy() for c in ("node", "root", "n"))
-        block, regs = np.array(table.column("block")), _matrix(table.column("regs"))
+        block, regs = np.array(table.column("block")), _matrix(table.column("regs"), count)
         sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
         i_block, j_block = key[1].as_py(), key[2].as_py()
         left, right = np.flatnonzero(block == i_block), np.flatnonzero(block == j_block)
@@ -201,7 +220,7 @@ def _blocks(threshold: float, percent: int):
             y = right[right > x] if i_block == j_block else right
             y = y[(root[y] != root[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
             if len(y):
-                e = estimate(np.broadcast_to(regs[x], (len(y), REGISTERS)), regs[y], np.full(len(y), float(n[x])), n[y].astype(float))
+                e = estimate(np.broadcast_to(regs[x], (len(y), count)), regs[y], np.full(len(y), float(n[x])), n[y].astype(float))
                 y = y[e >= threshold]
             if not len(y):
                 continue
@@ -219,9 +238,11 @@ def _blocks(threshold: float, percent: int):
 def classes_and_links(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """The signed documents (doc_id, row, n, hi, lo, regs, text) and (hi, lo, node, class_doc, root) of each class of equal sets."""
     spark = session(docs.sparkSession)
-    threshold = percent / 100 - 5 * float(np.sqrt(percent / 100 * (1 - percent / 100) / REGISTERS))
+    bands = bands_for(percent)
+    count = bands * ROWS
+    threshold = percent / 100 - 5 * float(np.sqrt(percent / 100 * (1 - percent / 100) / count))
     cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"))
-    signed = staged(cols.mapInArrow(_sign, "doc_id long, row long, n long, hi long, lo long, regs binary, text string"), "op5-signed")
+    signed = staged(cols.mapInArrow(_signer(count), "doc_id long, row long, n long, hi long, lo long, regs binary, text string"), "op5-signed")
     classes = staged(signed.where("n > 0").groupBy("hi", "lo").agg(F.min("row").alias("node"), F.min("doc_id").alias("class_doc")), "op5-classes")
     reps = staged(signed.select(F.col("row").alias("node"), "n", "regs").join(classes.select("node"), "node"), "op5-reps")
     texts = signed.select("row", "text")
@@ -236,7 +257,7 @@ def classes_and_links(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, Da
         )
         return with_text.select("u", "v", "u_text", "v_text").mapInArrow(_verifier(percent), "u long, v long")
 
-    banded = reps.select("node", F.explode(F.array([F.xxhash64(F.lit(b), F.substring("regs", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)])).alias("key"))
+    banded = reps.select("node", F.explode(F.array([F.xxhash64(F.lit(b), F.substring("regs", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(bands)])).alias("key"))
     buckets = banded.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("members")).where("members > 1")
     members = staged(banded.join(buckets, "key").where("node != center").select("key", "node", "center"), "op5-members")
     pairs = members.select(F.col("node").alias("u"), F.col("center").alias("v")).distinct()
@@ -245,7 +266,7 @@ def classes_and_links(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, Da
         .join(reps.withColumnsRenamed({"node": "v", "n": "vn", "regs": "vr"}), "v")
         .where(100 * F.least("un", "vn") >= percent * F.greatest("un", "vn"))
     )
-    near = staged(sized.select("u", "v", "ur", "un", "vr", "vn").mapInArrow(_estimator(threshold), "u long, v long"), "op5-near")
+    near = staged(sized.select("u", "v", "ur", "un", "vr", "vn").mapInArrow(_estimator(threshold, count), "u long, v long"), "op5-near")
     release(spark)
     links = staged(verified(near), "op5-links")
     roots = staged(components(links, "op5-cc"), "op5-roots")
@@ -263,7 +284,7 @@ def classes_and_links(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, Da
     open_nodes = staged(rooted.join(mixed.select("key"), "key", "left_semi").select("node").distinct(), "op5-open")
     open_texts = texts.where(bloom.build(open_nodes).column(F.col("row"))).withColumnRenamed("row", "node").join(open_nodes, "node")
     open_sets = open_texts.select("node", "text").mapInArrow(_shingle_sets, "node long, set binary")
-    more = open_rows.join(open_sets, "node").groupBy("key", "i", "j").applyInArrow(_blocks(threshold, percent), "u long, v long")
+    more = open_rows.join(open_sets, "node").groupBy("key", "i", "j").applyInArrow(_blocks(threshold, percent, count), "u long, v long")
     second = staged(more.distinct(), "op5-links2")
     release(spark)
     joined = (
