@@ -196,6 +196,18 @@ def test_near_duplicates_at_another_threshold(spark):
         assert got == want and len(got) == left
 
 
+def test_one_row_of_each_component_stays(spark):
+    long, other = " ".join(f"a{i}" for i in range(200)), " ".join(f"b{i}" for i in range(200))
+    rows = [
+        (1, long, "repeated"), (1, long, "repeated"), (1, long, "repeated"),
+        (2, other, "first"), (3, other + " more", "near"), (3, "quite another text of its own", "kept under a reused id"),
+        (None, "the same words without any id", "n"), (None, "the same words without any id", "n"), (None, long + " more", "near to 1"),
+        (4, "", "empty"), (4, "", "empty"), (None, None, "null"),
+    ]
+    got = op5.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, note string").repartition(3))
+    assert multiset(got.collect()) == multiset([rows[0], rows[3], rows[5], rows[6], *rows[9:]])
+
+
 def test_register_estimates():
     rng = np.random.default_rng(2)
     a = np.unique(rng.integers(0, 1 << 63, 2000, dtype=np.uint64))

@@ -235,17 +235,25 @@ def _blocks(threshold: float, percent: int, count: int):
     return run
 
 
-def classes_and_links(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, DataFrame]:
-    """The signed documents (doc_id, row, n, hi, lo, regs, text) and (hi, lo, node, class_doc, root) of each class of equal sets."""
+def classes_and_links(docs: DataFrame, percent: int = 85, row: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The signed documents (doc_id, row, n, hi, lo, regs, text) and (hi, lo, node, class_doc, least, root) of each class of equal sets.
+
+    ``least`` is the row with the class's least doc_id.  With ``row``, ``docs``
+    is a written table that has its row numbers in that column, and the signed
+    documents have no text of their own.
+    """
     spark = session(docs.sparkSession)
     bands = bands_for(percent)
     count = bands * ROWS
     threshold = percent / 100 - 5 * float(np.sqrt(percent / 100 * (1 - percent / 100) / count))
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"))
-    signed = staged(cols.mapInArrow(_signer(count), "doc_id long, row long, n long, hi long, lo long, regs binary, text string"), "op5-signed")
-    classes = staged(signed.where("n > 0").groupBy("hi", "lo").agg(F.min("row").alias("node"), F.min("doc_id").alias("class_doc")), "op5-classes")
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), number.alias("row"), F.col("text").cast("string").alias("text"))
+    signed = cols.mapInArrow(_signer(count), "doc_id long, row long, n long, hi long, lo long, regs binary, text string")
+    signed = staged(signed.drop("text") if row else signed, "op5-signed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least")
+    classes = staged(signed.where("n > 0").groupBy("hi", "lo").agg(F.min("row").alias("node"), F.min("doc_id").alias("class_doc"), first), "op5-classes")
     reps = staged(signed.select(F.col("row").alias("node"), "n", "regs").join(classes.select("node"), "node"), "op5-reps")
-    texts = signed.select("row", "text")
+    texts = cols.select("row", "text") if row else signed.select("row", "text")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs (u, v) confirmed on the full sets of their texts; only texts that a pair may ask for are shuffled."""
@@ -294,7 +302,7 @@ def classes_and_links(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, Da
     top = components(joined, "op5-cc2").withColumnsRenamed({"node": "mid", "root": "top"})
     label = (
         classes.join(roots, "node", "left").withColumn("mid", F.coalesce("root", "node"))
-        .join(top, "mid", "left").withColumn("root", F.coalesce("top", "mid")).select("hi", "lo", "node", "class_doc", "root")
+        .join(top, "mid", "left").withColumn("root", F.coalesce("top", "mid")).select("hi", "lo", "node", "class_doc", "least", "root")
     )
     return signed, staged(label, "op5-labels")
 
@@ -311,12 +319,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The kept document of each component, with its own columns; rows without a doc_id, which nothing tells apart, stay."""
-    found = near_duplicates(docs.select("doc_id", "text"), percent)
-    stays = found.where("kept").select("doc_id")
-    gone = staged(found.where("not kept").select("doc_id").distinct().join(stays, "doc_id", "left_anti").withColumnRenamed("doc_id", "_gone"), "op5-gone")
-    key = F.col("doc_id").cast("long")
+    """One row of each component, the first with its least doc_id, with its own columns; rows without words stay.
+
+    Rows are told apart by number, so repeated rows, an id on several texts and
+    rows without an id leave one row of their component like all others.
+    """
+    # Written once, so that a row's number is the same whenever it is read.
+    numbered = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("document"), F.monotonically_increasing_id().alias("row"))
+    held = staged(numbered, "op5-documents")
+    signed, label = classes_and_links(held.select("document.doc_id", "document.text", "row"), percent, row="row")
+    stays = label.groupBy("root").agg(F.min("least").alias("least")).select("least.row")
+    gone = staged(signed.where("n > 0").select("row").join(stays, "row", "left_anti").withColumnRenamed("row", "_gone"), "op5-gone")
     # Documents that cannot be among the removed ones pass unshuffled.
-    marked = docs.withColumn("_maybe", bloom.build(gone).column(key))
-    doubtful = marked.where("_maybe").join(gone, key == F.col("_gone"), "left_anti")
-    return marked.where("not _maybe").unionByName(doubtful).drop("_maybe")
+    marked = held.withColumn("_maybe", bloom.build(gone).column(F.col("row")))
+    doubtful = marked.where("_maybe").join(gone, F.col("row") == F.col("_gone"), "left_anti")
+    return marked.where("not _maybe").unionByName(doubtful).select("document.*")
