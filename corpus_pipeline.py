@@ -39,7 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids) of every text."""
+    """(doc_id, ids) of every text; each text's ids are decoded and compared with it."""
     return op6_bpe.token_ids(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 

@@ -263,6 +263,15 @@ def test_stitched_pieces_encode_as_one():
         assert enc.decode_bytes(ids) == text.encode()
 
 
+def test_ids_decode_to_texts(spark, odd, odd_rows, empty):
+    ids = op6.token_ids(odd, RANKS, public_tokenizers.PATTERN)
+    back = op6.decode_ids(ids, RANKS, public_tokenizers.PATTERN)
+    assert Counter((r.doc_id, bytes(r.bytes)) for r in back.collect()) == Counter((r[0], (r[1] or "").encode()) for r in odd_rows)
+    assert op6.decode_ids(op6.token_ids(empty, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN).count() == 0
+    nulls = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert [bytes(r.bytes) for r in op6.decode_ids(nulls, RANKS, public_tokenizers.PATTERN).collect()] == [b"", b""]
+
+
 def test_bpe_edges(empty, no_ids):
     assert op6.encode_digest(empty, RANKS, public_tokenizers.PATTERN).count() == 0
     assert [len(r.ids) for r in op6.token_ids(no_ids, RANKS, public_tokenizers.PATTERN).collect()][-1] == 0

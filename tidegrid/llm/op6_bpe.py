@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -86,17 +87,47 @@ def encode_column(column: pa.Array, rank_file: str, pattern: str, chunk: int = C
             yield (enc.encode_ordinary(text[a:b]) for a, b in zip(cuts, cuts[1:], strict=False))
 
 
+def decode_bytes(ids: Iterable[int], enc: tiktoken.Encoding) -> bytes:
+    """The raw bytes of ids, one after another; ids that are no token raise ``KeyError``."""
+    return enc.decode_bytes(ids if isinstance(ids, list) else list(ids))
+
+
+def decode_ids(tokens: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """``tokens`` (doc_id, ids) to (doc_id, bytes); null ids give no bytes, and bytes need not be UTF-8."""
+
+    def run(batches):
+        enc = encoder(rank_file, pattern)
+        for batch in batches:
+            for i in range(0, batch.num_rows, OUTPUT_ROWS):
+                part = batch.slice(i, OUTPUT_ROWS)
+                # One row's ids at a time become Python integers.
+                raw = [decode_bytes(ids.as_py() or [], enc) for ids in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(raw, pa.binary())], names=["doc_id", "bytes"])
+
+    session(tokens.sparkSession)
+    return tokens.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")).mapInArrow(run, "doc_id long, bytes binary")
+
+
 def token_ids(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
-    """``docs`` (doc_id, text) to (doc_id, ids array<int>)."""
+    """``docs`` (doc_id, text) to (doc_id, ids array<int>); ids that do not decode to the text's bytes fail the job."""
 
     def run(batches):
+        enc = encoder(rank_file, pattern)
         for batch in batches:
             # Small batches, and each piece's ids as four-byte numbers at once: lists of Python integers take nine times that.
             for i in range(0, batch.num_rows, OUTPUT_ROWS):
                 part = batch.slice(i, OUTPUT_ROWS)
                 parts, sizes = [], []
-                for pieces in encode_column(part.column(1), rank_file, pattern):
-                    own = [np.array(p, np.int32) for p in pieces]
+                for text, pieces in zip(part.column(1), encode_column(part.column(1), rank_file, pattern), strict=True):
+                    own, raw, at = [], (text.as_py() or "").encode(), 0
+                    for p in pieces:
+                        back = decode_bytes(p, enc)
+                        if raw[at : at + len(back)] != back:
+                            break
+                        at += len(back)
+                        own.append(np.array(p, np.int32))
+                    if at != len(raw):
+                        raise ValueError(f"ids do not decode to their text from byte {at}")
                     parts += own
                     sizes.append(sum(map(len, own)))
                 bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
@@ -119,7 +150,7 @@ def encode_digest(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
                 for ids in pieces:
                     if ids:
                         a.update(((" " if n else "") + " ".join(map(str, ids))).encode())
-                        b.update(enc.decode_bytes(ids))
+                        b.update(decode_bytes(ids, enc))
                         n += len(ids)
                 count.append(n)
                 ids_sha.append(a.hexdigest())
