@@ -371,6 +371,20 @@ def test_media_payloads(odd, odd_rows, empty):
     assert op9.text_media(empty).count() == 0
 
 
+def test_query_makes_every_tile(odd, odd_rows, tmp_path):
+    from tidegrid.llm import queries
+
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op9_media_columns(odd.sparkSession, str(tmp_path)).collect()
+    want = Counter()
+    for r in odd_rows:
+        image = np.frombuffer(op9.text_payload((r[1] or "").encode()), np.uint8).reshape(-1, 64)
+        want[r[0], hashlib.sha256(op9.npy_tile(image)).hexdigest()] += 1
+    assert Counter((r.doc_id, r.tile_sha256) for r in got) == want
+    held = op9.text_media(odd, with_media=True).collect()
+    assert all(hashlib.sha256(r.tile).hexdigest() == r.tile_sha256 and np.load(__import__("io").BytesIO(r.tile)).shape == (32, 32) for r in held)
+
+
 def test_image_formats():
     rng = np.random.default_rng(3)
     grey, colour = rng.integers(0, 256, (5, 7)).astype(np.uint8), rng.integers(0, 256, (4, 3, 3)).astype(np.uint8)

@@ -206,8 +206,8 @@ def store_text(text: bytes) -> bytes:
 
 
 def text_media(docs: DataFrame, *, with_media: bool = False, tile: int = 32) -> DataFrame:
-    """Store every text as an image, read it back, and digest what was read; with ``with_media`` also the stored bytes and the tile."""
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    """Store every text as an image, read it back, and digest what was read and the tile's NPY file; with ``with_media`` also the stored bytes and the tile."""
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile_sha256 string"
     names = [x.split()[0] for x in schema.split(", ")] + ["media", "tile"] * with_media
     if with_media:
         schema += ", media binary, tile binary"
@@ -220,12 +220,13 @@ def text_media(docs: DataFrame, *, with_media: bool = False, tile: int = 32) ->
                 media = store_text(raw)
                 image = decode(media)
                 payload = image.tobytes()
+                small = npy_tile(image, tile, tile)
                 row = (
                     len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]),
-                    len(media), hashlib.sha256(media).hexdigest(), dhash(image),
+                    len(media), hashlib.sha256(media).hexdigest(), dhash(image), hashlib.sha256(small).hexdigest(),
                 )
-                rows.append((*row, media, npy_tile(image, tile, tile)) if with_media else row)
-            types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary())
+                rows.append((*row, media, small) if with_media else row)
+            types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.binary())
             cols = list(zip(*rows, strict=True)) if rows else [()] * (len(names) - 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, types, strict=False)]], names=names)
 
