@@ -35,7 +35,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are sampled to their target weights; a document may come twice."""
-    return op7_mixing.mixed_documents(docs)
+    return op7_mixing.mixed_documents(docs, pass_over=False)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -299,6 +299,23 @@ def test_mix_targets_and_amounts(spark):
     assert sum(a.taken != b.taken for a, b in zip(sorted(rows), sorted(again))) == 0
 
 
+@pytest.mark.parametrize("short", [(10,), (10, 1)])
+def test_mix_passes_over_a_long_document(spark, short):
+    """One text with 30% of a source's words leaves no gap that a shorter one would fill, wherever it stands in the order."""
+    for seed in range(4):
+        docs, i = [], 0
+        for s in "abc":
+            for k in range(700):
+                docs.append((i := i + 1, "w " * short[k % len(short)], s))
+            docs.append((i := i + 1, "w " * int(0.3 / 0.7 * sum(d[1].count("w") for d in docs if d[2] == s)), s))
+        rows = op7.mix(spark.createDataFrame(docs, "doc_id long, text string, source string"), seed=seed).collect()
+        source = {d[0]: d[2] for d in docs}
+        for s in "abc":
+            own = [r for r in rows if source[r.doc_id] == s]
+            left = [r["size"] for r in own if r.copies == int(r.target / r.source_size)]
+            assert left and abs(sum(r.taken for r in own) - own[0].target) <= min(left), (s, seed)
+
+
 def test_mix_edges(odd, odd_rows, empty, no_ids):
     rows = op7.mix(odd).collect()
     sizes = defaultdict(int)

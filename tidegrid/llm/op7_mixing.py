@@ -12,7 +12,9 @@ by their inclusion odds pi / (1 - pi), and each source takes its least ranks
 up to its remaining words.  The draw depends on the document only, so reruns
 agree.  The cut is found by cumulative sums over 4,096 rank cells, three times
 refined; no source is sorted or held in one task.  The last document of each
-source is the one that fits the remaining gap best.
+source is the one that fits the remaining gap best.  Where that would miss the
+target by more than the source's smallest document left, documents longer than
+the gap are passed over first and the order goes on, until it does not.
 
 Defined results: a null or empty text has size 0 and takes 0 words; a null
 source is a source of its own, last in order; repeated rows share a rank and
@@ -62,8 +64,12 @@ def _joined(rows: DataFrame, sources: DataFrame, small: bool) -> DataFrame:
     return rows.join(F.broadcast(other) if small else other, F.col("mix_source").eqNullSafe(F.col("s_source")), "left").drop("s_source")
 
 
-def mix(docs: DataFrame, *, source: str = "source", weights: Sequence[float] = (3, 1, 2), total_share: float = 1.5, seed: int = 7, slim: bool = True) -> DataFrame:
-    """Documents with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``; with ``slim`` only ``doc_id`` is carried along, else the struct ``document``."""
+def mix(docs: DataFrame, *, source: str = "source", weights: Sequence[float] = (3, 1, 2), total_share: float = 1.5, seed: int = 7, slim: bool = True, pass_over: bool = True) -> DataFrame:
+    """Documents with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``; with ``slim`` only ``doc_id`` is carried along, else the struct ``document``.
+
+    Without ``pass_over`` a source's order ends at its first document longer
+    than the gap, and only the one that fits best is added.
+    """
     # A document's own columns travel in one struct, so their names clash with none of the plan's.
     carried = [F.col("doc_id").cast("long")] if slim else [F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("document")]
     rows = staged(
@@ -92,32 +98,51 @@ def mix(docs: DataFrame, *, source: str = "source", weights: Sequence[float] = (
         "c3": F.pmod(F.xxhash64(F.lit(seed), F.col("row")), F.lit(CELLS)),
     }
     with_cells = lambda df: _joined(df, plan.select("mix_source", "pi"), small).withColumns(cells).drop("pi")
-    cut, left = plan.select("mix_source", "rest"), with_cells(narrow)
-    for level in ("c1", "c2", "c3"):
-        sums = left.groupBy("mix_source", level).agg(F.sum("size").alias("w"))
-        before = F.coalesce(F.sum("w").over(Window.partitionBy("mix_source").orderBy(level).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        crossing = (
-            _joined(sums.withColumn("before", before), cut.select("mix_source", "rest"), small)
-            .where((F.col("w") > 0) & (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("w")))
-            .select("mix_source", F.col(level).alias(f"t{level}"), (F.col("rest") - F.col("before")).alias("rest_in"))
+
+    def search(left: DataFrame, cut: DataFrame) -> DataFrame:
+        """(mix_source, t, rest): the cells of the cut of ``left`` at each source's ``rest``, and what stays of it; null cells where all fits."""
+        whole = left.groupBy("mix_source").agg(F.sum("size").alias("all"))
+        for level in ("c1", "c2", "c3"):
+            sums = left.groupBy("mix_source", level).agg(F.sum("size").alias("w"))
+            before = F.coalesce(F.sum("w").over(Window.partitionBy("mix_source").orderBy(level).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+            crossing = (
+                _joined(sums.withColumn("before", before), cut.select("mix_source", "rest"), small)
+                .where((F.col("w") > 0) & (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("w")))
+                .select("mix_source", F.col(level).alias(f"t{level}"), (F.col("rest") - F.col("before")).alias("rest_in"))
+            )
+            cut = staged(_joined(cut, crossing, small).withColumn("rest", F.coalesce("rest_in", "rest")).drop("rest_in"), "op7-cut")
+            if level != "c3":
+                left = _joined(left, cut.select("mix_source", f"t{level}"), small).where(F.col(level) == F.col(f"t{level}")).drop(f"t{level}")
+        fits = F.col("tc1").isNull()
+        return _joined(cut, whole, small).select(
+            "mix_source", F.when(~fits, F.struct("tc1", "tc2", "tc3")).alias("t"), F.when(fits, F.col("rest") - F.coalesce("all", F.lit(0))).otherwise(F.col("rest")).alias("rest")
         )
-        cut = staged(_joined(cut, crossing, small).withColumn("rest", F.coalesce("rest_in", "rest")).drop("rest_in"), "op7-cut")
-        if level != "c3":
-            left = _joined(left, cut.select("mix_source", f"t{level}"), small).where(F.col(level) == F.col(f"t{level}")).drop(f"t{level}")
 
-    lower = (F.col("c1") < F.col("tc1")) | (
-        (F.col("c1") == F.col("tc1")) & ((F.col("c2") < F.col("tc2")) | ((F.col("c2") == F.col("tc2")) & (F.col("c3") < F.col("tc3"))))
-    )
-    picked = _joined(with_cells(narrow), cut.withColumnRenamed("rest", "gap"), small).withColumn("sampled", F.coalesce(lower, F.lit(False)))
-    # Each source's last document: of those left, the one whose size is nearest its gap, if that is an improvement.
-    fit = (
-        picked.where(~F.col("sampled") & (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")))
-        .groupBy("mix_source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "c1", "c2", "c3", "row")).alias("best"))
-        .select("mix_source", F.col("best.row").alias("best_row"))
-    )
-    cut = staged(_joined(_joined(cut, fit, small), plan.select("mix_source", "source_size", "target", "whole", "pi"), small), "op7-plan")
-    final = _joined(rows, cut.drop("rest"), small).withColumns(cells)
-    chosen = (F.coalesce(lower, F.lit(False)) | F.coalesce(F.col("row") == F.col("best_row"), F.lit(False))) & (F.col("pi") > 0)
+    # A source's passes, each the largest size it takes and its cut: a document is sampled if it is under the cut of a pass that takes its size.
+    place_of = F.struct(F.col("c1").alias("tc1"), F.col("c2").alias("tc2"), F.col("c3").alias("tc3"))
+    sampled = F.coalesce(F.exists("passes", lambda p: (F.col("size") <= p["limit"]) & (place_of < p["t"])), F.lit(False))
+    first = search(with_cells(narrow), plan.select("mix_source", "rest"))
+    cut = first.select("mix_source", "rest", F.array(F.struct(F.lit((1 << 63) - 1).alias("limit"), "t")).alias("passes"))
+    while True:
+        open_rows = _joined(with_cells(narrow), cut.withColumnRenamed("rest", "gap"), small).where(~sampled & (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")))
+        # Each source's last document: of those left, the one whose size is nearest its gap, if that is an improvement.
+        fit = open_rows.groupBy("mix_source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "c1", "c2", "c3", "row", "size")).alias("best"), F.min("size").alias("smallest"))
+        cut = staged(_joined(cut, fit.select("mix_source", F.col("best.row").alias("best_row"), F.col("best.off").alias("off"), "smallest"), small), "op7-fit")
+        short = cut.where(F.col("off") > F.col("smallest")).select("mix_source", "rest", F.floor("rest").alias("limit"))
+        if not pass_over or short.isEmpty():
+            break
+        rows_left = _joined(open_rows.drop("passes", "gap"), short.select("mix_source", "limit"), small).where(F.col("size") <= F.col("limit")).drop("limit")
+        found = search(rows_left, short.select("mix_source", "rest"))
+        more = _joined(short.select("mix_source", "limit"), found.withColumnRenamed("rest", "rest_in"), small)
+        end = F.struct(F.lit(CELLS).cast("long").alias("tc1"), F.lit(0).cast("long").alias("tc2"), F.lit(0).cast("long").alias("tc3"))
+        passes = F.when(F.col("limit").isNull(), F.col("passes")).otherwise(F.concat("passes", F.array(F.struct("limit", F.coalesce("t", end).alias("t")))))
+        cut = staged(
+            _joined(cut.select("mix_source", "rest", "passes"), more, small).select("mix_source", F.coalesce("rest_in", "rest").alias("rest"), passes.alias("passes")), "op7-cut"
+        )
+
+    cut = staged(_joined(cut, plan.select("mix_source", "source_size", "target", "whole", "pi"), small), "op7-plan")
+    final = _joined(rows, cut.drop("rest", "off", "smallest"), small).withColumns(cells)
+    chosen = (sampled | F.coalesce(F.col("row") == F.col("best_row"), F.lit(False))) & (F.col("pi") > 0)
     final = final.withColumn("copies", (F.col("whole") + chosen.cast("int")).cast("int")).withColumn("taken", F.col("size") * F.col("copies"))
     return final.select("doc_id" if slim else "document", "size", "source_size", "target", "taken", "copies")
 
