@@ -1,7 +1,8 @@
 """Byte-level BPE encoding by overlapping chunks, and decoding.
 
 A long text is cut at fixed places into chunks, each extended to the right by
-an overlap.  Every chunk is pre-tokenised on its own; the left chunk's
+an overlap.  Around every cut both chunks are pre-tokenised for the length of
+the overlap, one cut after another in the text's task; the left chunk's
 boundaries in the overlap and the right chunk's are compared, and the texts
 are stitched at the first boundary that both have where a character other than
 white space is followed by white space.  No pre-token has white space after
