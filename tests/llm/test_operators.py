@@ -490,3 +490,53 @@ def test_pipeline_run(spark):
     import corpus_pipeline as p
 
     assert p.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+# layouts, ties and long texts -----------------------------------------------------------
+
+
+def test_results_do_not_depend_on_the_layout(spark, odd, monkeypatch):
+    """The same rows in other partitions give the same results, also where many documents share a rank cell."""
+    monkeypatch.setattr(op7, "CELLS", 8)
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice("abcdefg") * rng.randint(1, 4) for _ in range(rng.randint(1, 90))), rng.choice("de"), rng.choice("xyz")) for i in range(1000)]
+    rows += [rows[5]] * 40 + [(None, "one text of very many rows", "d", "x")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for query in (op7.mix, op2.language_query, op1.line_quality):
+        a, b = (multiset(query(docs.repartition(n)).collect()) for n in (3, 7))
+        assert a == b, query
+
+
+def test_every_label_is_learned(spark):
+    rng = random.Random(13)
+    alphabets = [chr(0x4E00 + 40 * k) for k in range(70)]
+    rows = [(i * 70 + k, "".join(chr(ord(a) + rng.randrange(30)) for _ in range(120)), f"l{k:02d}") for k, a in enumerate(alphabets) for i in range(12)]
+    rows += [(100_000 + k, rows[0][1], "copies") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, labels = op2.labelled_sample(docs.selectExpr("doc_id as id", "lang as label", "text"))
+    assert len(set(labels)) == 71 and len(texts) == len(labels)
+    assert {r.lang_pred for r in op2.language_query(docs).collect()} >= {f"l{k:02d}" for k in range(70)}
+
+
+def test_excerpts_come_from_all_places(spark):
+    text = "a" * 20_000 + "b" * 20_000
+    docs = spark.createDataFrame([(i, text + str(i), "x") for i in range(40)], "id long, text string, label string")
+    texts, _ = op2.labelled_sample(docs, sample_chars=100)
+    assert all(len(t) == 100 for t in texts) and 5 < sum("b" in t for t in texts) < 35
+
+
+def test_long_texts_are_hashed_in_blocks(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(14)
+    text = " ".join("".join(rng.choice("abc") for _ in range(rng.choice([1, 3, 9, 4000]))) for _ in range(400)) + "\nq w e\nq w e\n" + "z" * 9000
+    column = pa.array([text, "short one", text[:50]], pa.string())
+    want = op1.base_statistics(column), [K.shingle_sets(raw, offs) for _, _, raw, offs in K.chunks(column, 1)]
+    weights = [np.bincount(op4.ngrams(raw, offs)[0], minlength=op4.BUCKETS + 1) for _, _, raw, offs in K.chunks(column, 1)]
+    for block in (64, 1000):
+        monkeypatch.setattr(K, "CHUNK_BYTES", block)
+        got = op1.base_statistics(column), [K.shingle_sets(raw, offs) for _, _, raw, offs in K.chunks(column, 1)]
+        assert all(a.equals(b) for a, b in zip(got[0], want[0]))
+        assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(got[1], want[1]))
+        for (_, _, raw, offs), w in zip(K.chunks(column, 1), weights):
+            assert (sum(np.bincount(b, minlength=op4.BUCKETS + 1) for b, _ in op4.ngram_pieces(raw, offs, block)) == w).all()

@@ -2,8 +2,9 @@
 
 All kernels work on the UTF-8 bytes of many documents at once, so a Python
 worker pays numpy's per-call cost once per chunk instead of once per word.
-Null texts count as empty.  Chunks are bounded in bytes (a single longer text
-forms its own chunk), which bounds a worker's memory.
+Null texts count as empty.  Chunks are bounded in bytes; a single longer text
+forms its own chunk, whose bytes are hashed in blocks of ``CHUNK_BYTES``, so a
+worker holds arrays of its words but none of 64-bit numbers a byte.
 """
 
 from __future__ import annotations
@@ -117,11 +118,36 @@ def prefix_hash(raw: np.ndarray) -> np.ndarray:
     return out
 
 
+def _long_sum(raw: np.ndarray) -> np.uint64:
+    """The unmixed hash sum of one byte string of any length, block by block."""
+    total = 0
+    for at in range(0, len(raw), CHUNK_BYTES):
+        total += int(prefix_hash(raw[at : at + CHUNK_BYTES])[-1]) * pow(_PRIME, at, 1 << 64)
+    return U64(total % (1 << 64))
+
+
 def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, prefix: np.ndarray | None = None) -> np.ndarray:
-    """64-bit hashes of the byte strings ``raw[start:end]``; a string's length enters its hash."""
+    """64-bit hashes of the byte strings ``raw[start:end]``; a string's length enters its hash.
+
+    Without ``prefix`` the strings come in order and do not overlap.
+    """
+    size = (end - start).astype(np.uint64) * U64(0xD6E8FEB86659FD93)
+    if prefix is None and len(raw) > 2 * CHUNK_BYTES:
+        sums, i = np.empty(len(start), np.uint64), 0
+        while i < len(start):
+            j = int(np.searchsorted(end, start[i] + CHUNK_BYTES, "right"))
+            if j <= i:
+                sums[i], j = _long_sum(raw[start[i] : end[i]]), i + 1
+            else:
+                at = start[i]
+                own = prefix_hash(raw[at : end[j - 1]])
+                _, down = Powers.get(len(own))
+                sums[i:j] = (own[end[i:j] - at] - own[start[i:j] - at]) * down[start[i:j] - at]
+            i = j
+        return mix(sums + size)
     prefix = prefix_hash(raw) if prefix is None else prefix
     _, down = Powers.get(len(raw) + 1)
-    return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64) * U64(0xD6E8FEB86659FD93))
+    return mix((prefix[end] - prefix[start]) * down[start] + size)
 
 
 def sequence_hashes(items: np.ndarray, width: int) -> np.ndarray:
@@ -144,8 +170,11 @@ def windows_in_rows(before: np.ndarray, width: int) -> tuple[np.ndarray, np.ndar
 
 
 def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    out = np.zeros(len(bounds) - 1, np.int64)
+    full = np.flatnonzero(np.diff(bounds))
+    if len(full):
+        out[full] = np.add.reduceat(values[: bounds[-1]], bounds[:-1][full], dtype=np.int64)
+    return out
 
 
 def counts_in_rows(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:

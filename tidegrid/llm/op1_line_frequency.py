@@ -8,8 +8,11 @@ their host are removed, and a document whose words remain to less than
 
 Defined results: a null or empty text has no words, fails the base rule and is
 not kept; a null host is a host of its own; repeated rows are documents of
-their own; an empty table gives an empty result.  Columns of the input other
-than the three named ones are ignored, so clashing names do no harm.
+their own; a line found in exactly ``limit`` documents stays; an empty table
+gives an empty result.  A very long text is counted whole: its bytes are
+hashed in blocks, so a task holds about 16 bytes a byte of it.  Columns of the
+input other than the three named ones are ignored, so clashing names do no
+harm.
 """
 
 from __future__ import annotations
@@ -24,11 +27,11 @@ from tidegrid.llm.runtime import session, staged
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
-#: Copies of each frequent line in the join, so that a line of one third of all rows spreads.
-SALTS = 32
+#: A line in more than one of this many of all lines is hot; there are fewer hot lines than that, so their table may be broadcast.
+HOT_LINES = 10_000
 
 STATS = (
-    "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
+    "row long, doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
     " line_hash array<long>, line_words array<int>"
 )
 
@@ -93,8 +96,8 @@ def base_statistics(column: pa.Array) -> list[pa.Array]:
 def _stats(batches):
     for batch in batches:
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), *base_statistics(batch.column(2))],
-            names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_hash", "line_words"],
+            [*batch.columns[:3], *base_statistics(batch.column(3))],
+            names=["row", "doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_hash", "line_words"],
         )
 
 
@@ -103,18 +106,24 @@ def line_quality(
 ) -> DataFrame:
     """One row per document: base counts, removed words, ``base_failed`` and ``kept``."""
     spark = session(docs.sparkSession)
-    cols = docs.select(F.col("doc_id").cast("long"), F.col(host).cast("string").alias("host"), F.col("text").cast("string"))
-    stats = staged(cols.mapInArrow(_stats, STATS), "op1-stats").withColumn("row", F.monotonically_increasing_id())
+    # Rows are numbered before they are written, so a row has one number however often the table is read.
+    cols = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), F.col("text").cast("string").alias("text")
+    )
+    stats = staged(cols.mapInArrow(_stats, STATS), "op1-stats")
     lines = stats.select(
         "row", "host", F.explode(F.arrays_zip("line_hash", "line_words")).alias("line")
     ).select("row", "host", F.col("line.line_hash").alias("hash"), F.col("line.line_words").alias("words"))
-    frequent = (
-        lines.groupBy("host", "hash").agg(F.count("*").alias("documents")).where(F.col("documents") > limit)
-        .select(F.col("host").alias("f_host"), F.col("hash").alias("f_hash"), F.explode(F.array([F.lit(i) for i in range(SALTS)])).alias("f_salt"))
+    frequent = staged(
+        lines.groupBy("host", "hash").agg(F.count("*").alias("documents")).where(F.col("documents") > limit).select(F.col("host").alias("f_host"), F.col("hash").alias("f_hash"), "documents"),
+        "op1-frequent",
     )
+    # Hot lines meet their documents by broadcast; all others have few rows a key and meet them by shuffle.
+    hot = F.col("documents") * HOT_LINES > F.lit(frequent.agg(F.sum("documents")).first()[0] or 0)
+    same = F.col("host").eqNullSafe(F.col("f_host")) & (F.col("hash") == F.col("f_hash"))
+    rest = lines.join(F.broadcast(frequent.where(hot).withColumnsRenamed({"f_host": "h_host", "f_hash": "h_hash", "documents": "often"})), F.col("host").eqNullSafe(F.col("h_host")) & (F.col("hash") == F.col("h_hash")), "left")
     removed = (
-        lines.withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)).cast("int"))
-        .join(frequent, F.col("host").eqNullSafe(F.col("f_host")) & (F.col("hash") == F.col("f_hash")) & (F.col("salt") == F.col("f_salt")))
+        rest.where("often is not null").select("row", "words").union(rest.where("often is null").join(frequent.where(~hot), same).select("row", "words"))
         .groupBy("row").agg(F.sum("words").alias("removed"), F.count("*").alias("removed_lines"))
     )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

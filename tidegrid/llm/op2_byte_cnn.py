@@ -6,10 +6,17 @@ probabilities.  A text's whole length is cut into windows; its class scores
 are the mean log-probabilities of its windows, weighted by their bytes.
 
 Training rows are a bounded sample of labelled rows (``sample_per_class``,
-``sample_bytes``), which the caller chooses; prediction reads only text.
+``sample_rows``, ``sample_chars``), which the caller chooses; every label is a
+class.  The sample is the rows of least hash in a fixed order, so the model
+does not depend on how the table is partitioned.  Prediction reads only text.
 
 Defined results: a null text or one without a letter is ``und`` with score 0,
-and so is every text where no row is labelled; an empty table gives an empty result; equal texts get equal predictions.
+and so is every text where no row is labelled; a text whose best classes tie
+gets the first by name; equal texts get equal predictions; repeated rows are
+predicted alike and count once in the sample; an empty table gives an empty
+result.  A very long text is windowed in pieces of ``PIECE`` bytes, all of
+them scored.  Columns other than the named ones are ignored, so clashing names
+do no harm.
 """
 
 from __future__ import annotations
@@ -19,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm import kernels as K
@@ -29,6 +36,8 @@ WINDOW = 256
 EMBED = 8
 WIDTHS = (2, 3, 4)
 FILTERS = 16
+#: Bytes whose windows are scored at once; a multiple of WINDOW.
+PIECE = 1 << 19
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -58,10 +67,13 @@ class ByteCNN:
     def log_probabilities(self, windows: np.ndarray, block: int = 64) -> np.ndarray:
         out = np.empty((len(windows), len(self.classes)))
         for i in range(0, len(windows), block):
-            x = self.columns(windows[i : i + block])
+            # Every product has one shape, so a window's result does not depend on how many come with it.
+            held = windows[i : i + block]
+            full = held if len(held) == block else np.concatenate([held, np.zeros((block - len(held), held.shape[1]), np.uint8)])
+            x = self.columns(full)
             n, places, width = x.shape
             y = (x.reshape(-1, width) @ self.kernel).reshape(n, places, -1).max(1) + self.bias
-            z = np.maximum(y, 0) @ self.dense + self.dense_bias
+            z = (np.maximum(y, 0) @ self.dense + self.dense_bias)[: len(held)].astype(np.float64)
             z -= z.max(1, keepdims=True)
             out[i : i + block] = z - np.log(np.exp(z).sum(1, keepdims=True))
         return out
@@ -141,17 +153,22 @@ def classify(net: ByteCNN, column: pa.Array) -> tuple[pa.Array, pa.Array]:
     if not net.classes:
         return pa.array(["und"] * len(column), pa.string()), pa.array([0.0] * len(column), pa.float64())
     names, scores = [], []
-    for i, j, raw, offs in K.chunks(column, 1 << 19):
+    for i, j, raw, offs in K.chunks(column, PIECE):
         n = j - i
-        windows, row, length = windows_of(raw, offs)
         sums = np.zeros((n, len(net.classes)))
-        if len(windows):
-            logp = net.log_probabilities(windows) * length[:, None]
-            bounds = np.searchsorted(row, np.arange(n + 1))
-            total = np.concatenate([np.zeros((1, logp.shape[1])), np.cumsum(logp, 0)])
-            sums = (total[bounds[1:]] - total[bounds[:-1]]) / np.maximum(np.diff(offs), 1)[:, None]
+        # Only a chunk of one text can be longer than a piece.
+        for a in range(0, max(len(raw), 1), PIECE):
+            part = np.clip(offs - a, 0, PIECE) if n == 1 else offs
+            windows, row, length = windows_of(raw[a : a + PIECE] if n == 1 else raw, part)
+            if len(windows):
+                logp = net.log_probabilities(windows) * length[:, None]
+                first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                sums[row[first]] += np.add.reduceat(logp, first)
+            if n > 1:
+                break
+        sums /= np.maximum(np.diff(offs), 1)[:, None]
         best = sums.argmax(1)
-        top = 1 / np.exp(sums - sums.max(1, keepdims=True)).sum(1)
+        top = np.round(1 / np.exp(sums - sums.max(1, keepdims=True)).sum(1), 6)
         for k, text in enumerate(column.slice(i, n).to_pylist()):
             known = text is not None and _LETTER.search(text) is not None
             names.append(net.classes[best[k]] if known else "und")
@@ -159,23 +176,32 @@ def classify(net: ByteCNN, column: pa.Array) -> tuple[pa.Array, pa.Array]:
     return pa.array(names, pa.string()), pa.array(scores, pa.float64())
 
 
-def labelled_sample(labelled: DataFrame, *, sample_per_class: int = 300, sample_bytes: int = 4096, classes: int = 64) -> tuple[list[str], list[str]]:
-    """A bounded sample of ``(text, label)``: at most about ``sample_per_class`` rows a class, thinned by a hash.
+def labelled_sample(labelled: DataFrame, *, sample_per_class: int = 300, sample_rows: int = 20_000, sample_chars: int = 4096) -> tuple[list[str], list[str]]:
+    """A bounded sample of ``(text, label)`` from (id, label, text): the rows of least hash of every class.
 
-    The driver receives at most ``2 * classes * sample_per_class`` excerpts of
-    ``sample_bytes``; this bound is the only sampling, and only of training rows.
+    Of each class at most ``sample_per_class`` rows are taken, fewer where
+    there are so many classes that ``sample_rows`` would be exceeded, and at
+    least one.  Of a longer text an excerpt of ``sample_chars`` characters at
+    a hashed place is taken.  This bound is the only sampling, and only of
+    training rows.
     """
-    counts = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(classes).collect()
-    if not counts:
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "id", "text"), 11)
+    counts = labelled.groupBy("label").agg(F.count("*").alias("count"), F.min(draw).alias("least"))
+    classes = counts.count()
+    if not classes:
         return [], []
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["label"]), F.lit(min(1.0, 1.5 * sample_per_class / r["count"])))])
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 30)) / float(1 << 30)
-    rows = (
-        labelled.where(draw < F.element_at(share, F.col("label")))
-        .select("label", F.substring("text", 1, sample_bytes).alias("text"))
-        .limit(2 * len(counts) * sample_per_class).collect()
+    most = max(1, min(sample_per_class, sample_rows // classes))
+    # Most rows fall to a threshold by their class's size, so the ranking sees few; rows of one hash are one row.
+    # The table of classes is as long as the network's last layer, which every task gets anyway.
+    share = F.least(F.lit(1.0), F.lit(2.0 * most + 60) / F.col("count"))
+    excerpt = F.col("text").substr((F.pmod(F.xxhash64(F.lit("place"), "text"), F.greatest(F.lit(1), F.length("text") - sample_chars + 1)) + 1).cast("int"), F.lit(sample_chars))
+    thin = (
+        labelled.withColumn("draw", draw).join(F.broadcast(counts), "label").where((F.col("draw") < share * float(1 << 53)) | (F.col("draw") == F.col("least")))
+        .select("label", "draw", excerpt.alias("text")).groupBy("label", "draw").agg(F.min("text").alias("text"))
     )
-    return [r["text"] for r in rows], [r["label"] for r in rows]
+    ranked = thin.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("draw"))).where(F.col("rank") <= most)
+    rows = sorted((r["label"], r["rank"], r["text"]) for r in ranked.select("label", "rank", "text").collect())
+    return [r[2] for r in rows], [r[0] for r in rows]
 
 
 def identify_language(docs: DataFrame, net: ByteCNN) -> DataFrame:

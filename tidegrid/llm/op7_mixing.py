@@ -10,15 +10,24 @@ the whole part is allocated as certain copies, and the rest is an inclusion
 probability pi.  Documents are ranked by their random odds u / (1 - u) divided
 by their inclusion odds pi / (1 - pi), and each source takes its least ranks
 up to its remaining words.  The draw depends on the document only, so reruns
-agree.  The cut is found by cumulative sums over 4,096 rank cells, three times
-refined; no source is sorted or held in one task.  The last document of each
-source is the one that fits the remaining gap best.  Where that would miss the
-target by more than the source's smallest document left, documents longer than
-the gap are passed over first and the order goes on, until it does not.
-
-Defined results: a null or empty text has size 0 and takes 0 words; a null
-source is a source of its own, last in order; repeated rows share a rank and
-are told apart by row; an empty table gives an empty result.
+agree whatever the partitions.  The cut is found by cumulative sums over 4,096
+cells of the rank, refined by its next digits and then by those of a hash of
+the document until every cut cell holds one document; no source is sorted or
+held in one task.  The last document of each source is the one that fits the
+remaining gap best.  Where that would miss the target by more than the
+source's smallest document left, documents longer than the gap are passed over
+first and the order goes on, until it does not.
+
+The table of sources (one narrow row each) is ordered in one task; it grows
+with the number of sources, not of documents.
+
+Defined results: a null or empty text has size 0 and takes 0 words; a very
+long text is one document like any other; a null source is a source of its
+own, last in order; documents of one rank follow the hash of id and text;
+repeated rows are interchangeable, and a digit of the row number tells them
+apart last, so the number of them that is taken does not depend on it; an
+empty table gives an empty result.  Other columns are ignored by ``mix`` and
+travel in one struct in ``mixed_documents``, so their names clash with none.
 """
 
 from __future__ import annotations
@@ -78,11 +87,12 @@ def mix(docs: DataFrame, *, source: str = "source", weights: Sequence[float] = (
             F.col(source).cast("string").alias("mix_source"),
             word_count(F.col("text").cast("string")).alias("size"),
             F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("draw"),
+            F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("text")).alias("tie"),
             F.monotonically_increasing_id().alias("row"),
         ),
         "op7-rows",
     )
-    narrow = rows.select("mix_source", "size", "draw", "row")
+    narrow = rows.select("mix_source", "size", "draw", "tie", "row")
     plan = staged(targets(narrow.groupBy("mix_source").agg(F.sum("size").alias("source_size")), weights, total_share), "op7-targets")
     small = plan.count() <= BROADCAST_SOURCES
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -91,42 +101,62 @@ def mix(docs: DataFrame, *, source: str = "source", weights: Sequence[float] = (
 
     u = (F.shiftrightunsigned("draw", 11).cast("double") + 0.5) / float(1 << 53)
     rank = (u / (1 - u)) / (F.col("pi") / (1 - F.col("pi")))
-    place = F.when((F.col("pi") > 0) & (F.col("pi") < 1), rank / (1 + rank)).otherwise(F.lit(0.0)) * CELLS
-    cells = {
-        "c1": F.least(F.floor(place), F.lit(CELLS - 1)),
-        "c2": F.least(F.floor((place - F.floor(place)) * CELLS), F.lit(CELLS - 1)),
-        "c3": F.pmod(F.xxhash64(F.lit(seed), F.col("row")), F.lit(CELLS)),
-    }
-    with_cells = lambda df: _joined(df, plan.select("mix_source", "pi"), small).withColumns(cells).drop("pi")
+    place = F.when((F.col("pi") > 0) & (F.col("pi") < 1), rank / (1 + rank)).otherwise(F.lit(0.0))
+    digit, bits = F.lit(CELLS), CELLS.bit_length() - 1
+    by_hash = lambda h, k: F.shiftrightunsigned(h, 64 - bits * (k + 1)).bitwiseAND(CELLS - 1)
+    # The digits of a document's place: of its rank, of a hash of the document, and of its row for equal documents.
+    digits = [F.least(F.floor(F.pmod(place * float(CELLS) ** (k + 1), digit)), digit - 1) for k in range(3)]
+    digits += [by_hash(F.col("tie"), k) for k in range(60 // bits)] + [by_hash(F.xxhash64("row"), k) for k in range(60 // bits)]
+    cells = {f"c{k}": d.cast("long") for k, d in enumerate(digits)}
+    used = 3
+
+    def with_cells(df: DataFrame, levels: int = 3) -> DataFrame:
+        return _joined(df, plan.select("mix_source", "pi"), small).withColumns(dict(list(cells.items())[:levels])).drop("pi")
 
     def search(left: DataFrame, cut: DataFrame) -> DataFrame:
-        """(mix_source, t, rest): the cells of the cut of ``left`` at each source's ``rest``, and what stays of it; null cells where all fits."""
+        """(mix_source, t, rest): the digits of the cut of ``left`` at each source's ``rest``, and what stays of it; null where all fits."""
+        nonlocal used
         whole = left.groupBy("mix_source").agg(F.sum("size").alias("all"))
-        for level in ("c1", "c2", "c3"):
-            sums = left.groupBy("mix_source", level).agg(F.sum("size").alias("w"))
-            before = F.coalesce(F.sum("w").over(Window.partitionBy("mix_source").orderBy(level).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        cut = cut.withColumns({"t": F.array().cast("array<bigint>"), "members": F.lit(2).cast("long")})
+        for k, (level, column) in enumerate(cells.items()):
+            if level not in left.columns:
+                left = _joined(left, plan.select("mix_source", "pi"), small).withColumn(level, column).drop("pi")
+            sums = left.groupBy("mix_source", F.col(level).alias("cell")).agg(F.sum("size").alias("w"), F.count_if(F.col("size") > 0).alias("in_cell"))
+            before = F.coalesce(F.sum("w").over(Window.partitionBy("mix_source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
             crossing = (
                 _joined(sums.withColumn("before", before), cut.select("mix_source", "rest"), small)
                 .where((F.col("w") > 0) & (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("w")))
-                .select("mix_source", F.col(level).alias(f"t{level}"), (F.col("rest") - F.col("before")).alias("rest_in"))
+                .select("mix_source", "cell", "in_cell", (F.col("rest") - F.col("before")).alias("rest_in"))
             )
-            cut = staged(_joined(cut, crossing, small).withColumn("rest", F.coalesce("rest_in", "rest")).drop("rest_in"), "op7-cut")
-            if level != "c3":
-                left = _joined(left, cut.select("mix_source", f"t{level}"), small).where(F.col(level) == F.col(f"t{level}")).drop(f"t{level}")
-        fits = F.col("tc1").isNull()
+            found = F.col("cell").isNotNull()
+            cut = staged(
+                _joined(cut, crossing, small).select(
+                    "mix_source", F.coalesce("rest_in", "rest").alias("rest"), F.when(found, F.concat("t", F.array("cell"))).otherwise(F.col("t")).alias("t"),
+                    F.when(found, F.col("in_cell")).otherwise(F.lit(0)).alias("members"),
+                ),
+                "op7-cut",
+            )
+            used = max(used, k + 1)
+            if k + 1 < len(cells) and cut.where("members > 1").isEmpty():
+                break
+            left = _joined(left, cut.where("members > 1").select("mix_source", F.element_at("t", -1).alias("edge")), small).where(F.col(level) == F.col("edge")).drop("edge")
+        fits = F.size("t") == 0
         return _joined(cut, whole, small).select(
-            "mix_source", F.when(~fits, F.struct("tc1", "tc2", "tc3")).alias("t"), F.when(fits, F.col("rest") - F.coalesce("all", F.lit(0))).otherwise(F.col("rest")).alias("rest")
+            "mix_source", F.when(~fits, F.col("t")).alias("t"), F.when(fits, F.col("rest") - F.coalesce("all", F.lit(0))).otherwise(F.col("rest")).alias("rest")
         )
 
     # A source's passes, each the largest size it takes and its cut: a document is sampled if it is under the cut of a pass that takes its size.
-    place_of = F.struct(F.col("c1").alias("tc1"), F.col("c2").alias("tc2"), F.col("c3").alias("tc3"))
-    sampled = F.coalesce(F.exists("passes", lambda p: (F.col("size") <= p["limit"]) & (place_of < p["t"])), F.lit(False))
+    # A cut shorter than a place is less than all places that begin with it.
+    def sampled() -> Column:
+        place_of = F.array(*[F.col(c) for c in list(cells)[:used]])
+        return F.coalesce(F.exists("passes", lambda p: (F.col("size") <= p["limit"]) & (place_of < p["t"])), F.lit(False))
+
     first = search(with_cells(narrow), plan.select("mix_source", "rest"))
     cut = first.select("mix_source", "rest", F.array(F.struct(F.lit((1 << 63) - 1).alias("limit"), "t")).alias("passes"))
     while True:
-        open_rows = _joined(with_cells(narrow), cut.withColumnRenamed("rest", "gap"), small).where(~sampled & (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")))
+        open_rows = _joined(with_cells(narrow, used), cut.withColumnRenamed("rest", "gap"), small).where(~sampled() & (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")))
         # Each source's last document: of those left, the one whose size is nearest its gap, if that is an improvement.
-        fit = open_rows.groupBy("mix_source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "c1", "c2", "c3", "row", "size")).alias("best"), F.min("size").alias("smallest"))
+        fit = open_rows.groupBy("mix_source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "c0", "c1", "c2", "tie", "row")).alias("best"), F.min("size").alias("smallest"))
         cut = staged(_joined(cut, fit.select("mix_source", F.col("best.row").alias("best_row"), F.col("best.off").alias("off"), "smallest"), small), "op7-fit")
         short = cut.where(F.col("off") > F.col("smallest")).select("mix_source", "rest", F.floor("rest").alias("limit"))
         if not pass_over or short.isEmpty():
@@ -134,15 +164,15 @@ def mix(docs: DataFrame, *, source: str = "source", weights: Sequence[float] = (
         rows_left = _joined(open_rows.drop("passes", "gap"), short.select("mix_source", "limit"), small).where(F.col("size") <= F.col("limit")).drop("limit")
         found = search(rows_left, short.select("mix_source", "rest"))
         more = _joined(short.select("mix_source", "limit"), found.withColumnRenamed("rest", "rest_in"), small)
-        end = F.struct(F.lit(CELLS).cast("long").alias("tc1"), F.lit(0).cast("long").alias("tc2"), F.lit(0).cast("long").alias("tc3"))
+        end = F.array(F.lit(CELLS).cast("long"))
         passes = F.when(F.col("limit").isNull(), F.col("passes")).otherwise(F.concat("passes", F.array(F.struct("limit", F.coalesce("t", end).alias("t")))))
         cut = staged(
             _joined(cut.select("mix_source", "rest", "passes"), more, small).select("mix_source", F.coalesce("rest_in", "rest").alias("rest"), passes.alias("passes")), "op7-cut"
         )
 
     cut = staged(_joined(cut, plan.select("mix_source", "source_size", "target", "whole", "pi"), small), "op7-plan")
-    final = _joined(rows, cut.drop("rest", "off", "smallest"), small).withColumns(cells)
-    chosen = (sampled | F.coalesce(F.col("row") == F.col("best_row"), F.lit(False))) & (F.col("pi") > 0)
+    final = _joined(rows, cut.drop("rest", "off", "smallest"), small).withColumns(dict(list(cells.items())[:used]))
+    chosen = (sampled() | F.coalesce(F.col("row") == F.col("best_row"), F.lit(False))) & (F.col("pi") > 0)
     final = final.withColumn("copies", (F.col("whole") + chosen.cast("int")).cast("int")).withColumn("taken", F.col("size") * F.col("copies"))
     return final.select("doc_id" if slim else "document", "size", "source_size", "target", "taken", "copies")
 
