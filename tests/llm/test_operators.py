@@ -540,3 +540,40 @@ def test_long_texts_are_hashed_in_blocks(monkeypatch):
         assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(got[1], want[1]))
         for (_, _, raw, offs), w in zip(K.chunks(column, 1), weights):
             assert (sum(np.bincount(b, minlength=op4.BUCKETS + 1) for b, _ in op4.ngram_pieces(raw, offs, block)) == w).all()
+
+
+def test_anchors_of_a_long_text_in_pieces(spark):
+    rng = random.Random(15)
+    text = "".join(rng.choice("ab \n") for _ in range(6000)) + "é" * 700 + "".join(rng.choice("ab") for _ in range(900))
+    raw = np.frombuffer(text.encode(), np.uint8)
+    offs = np.array([0, len(raw)])
+    whole = op8._contexts(raw, offs)
+    for piece in (300, 1111):
+        parts = list(op8._context_pieces(raw, offs, piece))
+        assert all((np.concatenate([p[k] for p in parts]) == whole[k]).all() for k in range(6))
+
+
+def test_copies_of_a_text_are_sorted_once(spark, monkeypatch):
+    """3,000 copies of one text and five that share a passage: the sort gets each distinct text's contexts once."""
+    rng = random.Random(16)
+    passage = sentence_of(rng, 900)
+    rows = [(i, passage + "tail of it all " * 3) for i in range(3000)]
+    rows += [(5000 + k, sentence_of(rng, 300) + passage[k * 20 : k * 20 + 500] + sentence_of(rng, 300)) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    seen = []
+    plain = op8.staged
+
+    def watch(df, name, *a, **k):
+        out = plain(df, name, *a, **k)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(op8, "staged", watch)
+    got = {r.doc_id: tuple(r)[1:] for r in op8.removal_digest(docs, hot=0).collect()}
+    want = brute.removed([rows[0][1], rows[0][1]] + [t for _, t in rows[3000:]])
+    assert got[0] == want[0] and [got[5000 + k] for k in range(5)] == want[2:]
+    assert dict(seen)["op8-bodies"] <= dict(seen)["op8-contexts"] < 300
+
+
+def sentence_of(rng, n):
+    return "".join(rng.choice("abcdefgh ") for _ in range(n))

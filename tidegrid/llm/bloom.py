@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tidegrid.llm import kernels as K
 
 PROBES = 4
-LEAST_BITS, MOST_BITS = 16, 26
+LEAST_BITS, MOST_BITS = 16, 28
 BITS_PER_KEY = 16
 
 

@@ -1,9 +1,10 @@
 """Deep-shallow sorting of byte strings, with the common prefixes of neighbours.
 
-Shallow phase: multikey quicksort.  Strings are partitioned by their next key
-(eight bytes as one big-endian number); the segments of equal keys go on to
-the next key until ``shallow`` bytes are used.  All open segments of one depth
-are partitioned in one vectorised pass.
+Shallow phase: multikey quicksort.  Each open segment is partitioned by a
+pivot into smaller, equal and larger keys (eight bytes as one big-endian
+number); the equal part goes on to the next key until ``shallow`` bytes are
+used, the others stay at theirs.  One vectorised pass partitions all open
+segments at once, whatever their depths.
 
 Deep phase: each segment still tied is built into a blind trie, which stores
 only branching depths and bytes.  A new string walks down blindly, is compared
@@ -91,34 +92,42 @@ def deep_shallow_sort(strings: np.ndarray, lengths: np.ndarray, groups: np.ndarr
     padded[:, :width] = strings
     words = padded.view(">u8").astype(np.uint64)
     order = np.argsort(groups, kind="stable")
-    segment = np.concatenate([[0], np.cumsum(np.diff(groups[order]) != 0)]) if n else np.zeros(0, np.int64)
     lcp = np.zeros(n, np.int64)
     if not n:
         return order, lcp
     depth_words = min(-(-shallow // 8), words.shape[1])
-    for k in range(depth_words):
-        tied = np.concatenate([segment[1:] == segment[:-1], [False]])
-        tied[1:] |= tied[:-1].copy() & (segment[1:] == segment[:-1])
-        tied |= np.concatenate([[False], segment[1:] == segment[:-1]])
-        at = np.flatnonzero(tied)
+    new = np.concatenate([[True], np.diff(groups[order]) != 0])
+    group_first = new.copy()
+    depth = np.zeros(n, np.int64)  # words of its segment that are known to be equal, by place
+    while True:
+        segment = np.cumsum(new) - 1
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, n))
+        at = np.flatnonzero((size[segment] > 1) & (depth < depth_words))
         if not len(at):
             break
-        key = words[order[at], k]
-        inner = np.lexsort((key, segment[at]))
-        order[at] = order[at][inner]
-        key = key[inner]
-        # A new segment begins where the key changes inside an old one; there the common prefix is known.
-        same = segment[at][1:] == segment[at][:-1]
-        cut = np.flatnonzero(same & (key[1:] != key[:-1]))
-        differ = key[cut + 1] ^ key[cut]
-        equal_bytes = np.zeros(len(cut), np.int64)
+        own, d = segment[at], depth[at]
+        key = words[order[at], d]
+        # The pivot is the median of a segment's first, middle and last key.
+        begin = first[own]
+        ends = [words[order[begin + step], d] for step in (0, size[own] // 2, size[own] - 1)]
+        pivot = np.maximum(np.minimum(ends[0], ends[1]), np.minimum(np.maximum(ends[0], ends[1]), ends[2]))
+        side = (key > pivot).astype(np.int8) - (key < pivot).astype(np.int8)
+        inner = np.lexsort((side, own))
+        order[at], side = order[at][inner], side[inner]
+        depth[at] = d + (side == 0)
+        new[at[1:]] |= (side[1:] != side[:-1]) & (own[1:] == own[:-1])
+    # Common prefixes of neighbours that the shallow phase told apart.
+    apart = np.flatnonzero(new & ~group_first)
+    if len(apart):
+        a, b = words[order[apart - 1], :depth_words], words[order[apart], :depth_words]
+        k = (a != b).argmax(1)
+        differ = a[np.arange(len(apart)), k] ^ b[np.arange(len(apart)), k]
+        equal_bytes = np.zeros(len(apart), np.int64)
         for byte in range(1, 8):
             equal_bytes += (differ >> np.uint64(64 - 8 * byte)) == 0
-        lcp[at[cut + 1]] = 8 * k + equal_bytes
-        step = np.zeros(n, np.int64)
-        step[at[cut + 1]] = 1
-        new = np.concatenate([[0], np.diff(segment)]) != 0
-        segment = np.cumsum(new | (step > 0))
+        lcp[apart] = 8 * k + equal_bytes
+    segment = np.cumsum(new) - 1
     # Deep phase on what is still tied.
     edge = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1], [True]]))
     for a, b in zip(edge[:-1], edge[1:], strict=True):

@@ -7,10 +7,12 @@ in the same document or another, is removed.
    hash (the leftmost of equals) is its anchor.  The choice depends on the
    window's bytes alone, so equal strings have equal anchors at equal places.
    An anchor's context is all bytes that such strings can reach.
-2. Anchors whose gram occurs once cannot lie in a repeated string.  Where all
+2. Anchors whose gram occurs once cannot lie in a repeated string; counts by
+   gram, summed in each chunk before the shuffle, find the others.  Where all
    contexts of a gram are equal, or a context occurs twice, every string of
-   the context is repeated; counts by hash, summed in each chunk before the
-   shuffle, decide both, so a passage in a third of all rows is no hot group.
+   the context is repeated; counts by context, and from them by gram, decide
+   both, so neither a passage in a third of all rows nor one with very many
+   different surroundings is a hot group.
 3. What is left are contexts at the edges of repeats.  For each gram, the
    suffixes right of its anchors and the reversed prefixes left of them are
    sorted by deep-shallow sorting.  A string that starts d bytes before the
@@ -18,12 +20,16 @@ in the same document or another, is removed.
    LENGTH - d to the right: the two orders' common prefixes cut both into
    classes, and an equal pair of classes tells.
    Where one gram has more than ``HOT`` open contexts, no task takes them all:
-   each of their strings is hashed and counted with partial aggregation.
+   each of their strings is hashed and counted with partial aggregation, which
+   finds the same strings.
 4. Removed runs are joined to the texts by content hash and cut out.
 
 Defined results: a null text counts as empty; texts shorter than ``LENGTH``
 bytes keep everything; repeated rows of ``LENGTH`` bytes or more lose
-everything; an empty table gives an empty result.
+everything; equal contexts tie and are removed together; an empty table gives
+an empty result.  The windows of a very long text are taken piece by piece,
+all of them.  A document's columns travel in one struct, so clashing names do
+no harm.
 """
 
 from __future__ import annotations
@@ -32,35 +38,37 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.llm import bloom
 from tidegrid.llm import kernels as K
 from tidegrid.llm.deep_shallow import deep_shallow_sort
-from tidegrid.llm.runtime import release, session, staged
+from tidegrid.llm.runtime import release, session, skewed_join, staged
 
 LENGTH = 200
 GRAM = 40
 LEFT = LENGTH - GRAM  # an anchor lies at most so far right of its string's start
+#: Bits of a place in a chunk or piece, and the window starts of a piece of a longer text.
+PLACE = K.U64(21)
+PIECE = 1 << 20
 #: Contexts sorted at once.
 BLOCK = 8192
 #: Contexts of one gram up to which they are sorted in one task; beyond, their strings are counted by hash.
 HOT = 50_000
 
 
-def anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all anchors of a chunk of texts, and the row of each."""
+def anchors(raw: np.ndarray, offs: np.ndarray, first: int = 0, last: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all anchors of a chunk of texts, and the row of each; with ``first`` and ``last`` those of the windows that start there."""
     n = len(raw) - GRAM + 1
     wide = LEFT + 1
     if n < wide:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     prefix = K.prefix_hash(raw)
     _, down = K.Powers.get(len(raw) + 1)
-    bits = K.U64(max(20, int(n).bit_length()))
     value = K.mix((prefix[GRAM:] - prefix[:-GRAM]) * down[:n])
-    value = (value >> bits << bits) | np.arange(n, dtype=np.uint64)
+    value = (value >> PLACE << PLACE) | np.arange(n, dtype=np.uint64)
     # Sliding minimum from prefix and suffix minima of blocks.
     size = -(-n // wide) * wide
     tail = np.full(size, ~K.U64(0))
@@ -69,18 +77,21 @@ def anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
     back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
     least = np.minimum(back[: n - wide + 1], ahead[wide - 1 : n])
-    place = (least & ((K.U64(1) << bits) - K.U64(1))).astype(np.int64)
+    place = (least & ((K.U64(1) << PLACE) - K.U64(1))).astype(np.int64)
     starts, rows, _ = K.windows_in_rows(offs, LENGTH)
+    if first or last is not None:
+        keep = (starts >= first) & (starts < (len(raw) if last is None else last))
+        starts, rows = starts[keep], rows[keep]
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     at = place[starts]
-    first = np.concatenate([[True], (at[1:] != at[:-1]) | (rows[1:] != rows[:-1])])
-    return at[first], rows[first]
+    new = np.concatenate([[True], (at[1:] != at[:-1]) | (rows[1:] != rows[:-1])])
+    return at[new], rows[new]
 
 
-def _contexts(raw: np.ndarray, offs: np.ndarray):
+def _contexts(raw: np.ndarray, offs: np.ndarray, first: int = 0, last: int | None = None):
     """Of each anchor of a chunk: its row, place, context bounds, and the hashes of its gram and context."""
-    at, rows = anchors(raw, offs)
+    at, rows = anchors(raw, offs, first, last)
     prefix = K.prefix_hash(raw)
     lo, hi = np.maximum(at - LEFT, offs[:-1][rows]), np.minimum(at + LENGTH, offs[1:][rows])
     gram = K.span_hashes(raw, at, at + GRAM, prefix)
@@ -88,30 +99,49 @@ def _contexts(raw: np.ndarray, offs: np.ndarray):
     return rows, at, lo, hi, gram.view(np.int64), context.view(np.int64)
 
 
-def _anchor_counts(batches):
-    """(gram, context, n), summed over each chunk before anything is shuffled."""
+def _context_pieces(raw: np.ndarray, offs: np.ndarray, piece: int = PIECE):
+    """``_contexts`` of a chunk; a text longer than a piece comes piece by piece, each with the bytes its contexts reach."""
+    if len(offs) != 2 or len(raw) <= piece + 2 * LENGTH + LEFT:
+        yield _contexts(raw, offs)
+        return
+    seen = -1
+    for a in range(0, len(raw) - LENGTH + 1, piece):
+        low = max(0, a - LEFT)
+        part = raw[low : a + piece + 2 * LENGTH]
+        rows, at, lo, hi, gram, context = _contexts(part, np.array([0, len(part)]), a - low, a - low + piece)
+        # Windows of two pieces may share an anchor; places never fall from one window to the next.
+        new = at + low > seen
+        if new.any():
+            seen = int(at[-1] + low)
+            yield rows[new], at[new] + low, lo[new] + low, hi[new] + low, gram[new], context[new]
+
+
+def _gram_counts(batches):
+    """(gram, n), summed over each chunk before anything is shuffled."""
     for batch in batches:
         for _, _, raw, offs in K.chunks(batch.column(0)):
-            *_, gram, context = _contexts(raw, offs)
-            if not len(gram):
-                continue
-            order = np.lexsort((context, gram))
-            gram, context = gram[order], context[order]
-            first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])]))
-            n = np.diff(np.concatenate([first, [len(gram)]]))
-            yield pa.RecordBatch.from_arrays([pa.array(gram[first]), pa.array(context[first]), pa.array(n.astype(np.int64))], names=["gram", "context", "n"])
+            for *_, gram, _ in _context_pieces(raw, offs):
+                gram, n = np.unique(gram, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
 
-def _anchor_rows(batches):
-    for batch in batches:
-        k1, k2 = np.array(batch.column(0)), np.array(batch.column(1))
-        for i, _, raw, offs in K.chunks(batch.column(2)):
-            rows, at, lo, hi, gram, context = _contexts(raw, offs)
-            if not len(at):
-                continue
-            # Place and reach to both sides, at most LEFT and LENGTH, in one number.
-            place = ((at - offs[:-1][rows]) << 16) | ((at - lo) << 8) | (hi - at)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, context, k1[i + rows], k2[i + rows], place)], names=["gram", "context", "k1", "k2", "place"])
+def _anchor_rows(often: bloom.Bloom):
+    """The anchors whose gram may occur again."""
+
+    def run(batches):
+        for batch in batches:
+            k1, k2 = np.array(batch.column(0)), np.array(batch.column(1))
+            for i, _, raw, offs in K.chunks(batch.column(2)):
+                for rows, at, lo, hi, gram, context in _context_pieces(raw, offs):
+                    keep = np.flatnonzero(often.may_hold(gram))
+                    if not len(keep):
+                        continue
+                    rows, at, lo, hi, gram, context = (x[keep] for x in (rows, at, lo, hi, gram, context))
+                    # Place and reach to both sides, at most LEFT and LENGTH, in one number.
+                    place = ((at - offs[:-1][rows]) << 16) | ((at - lo) << 8) | (hi - at)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, context, k1[i + rows], k2[i + rows], place)], names=["gram", "context", "k1", "k2", "place"])
+
+    return run
 
 
 ANCHOR_SCHEMA = "gram long, context long, k1 long, k2 long, place long"
@@ -264,13 +294,16 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(k1, k2, los, his): the removed spans, overlaps included, of each text by its content hash."""
     spark = session(docs.sparkSession)
     text, k1, k2 = _keys(docs)
-    found = docs.select(k1, k2, text).mapInArrow(_anchor_rows, ANCHOR_SCHEMA)
-    # Counts come pre-summed by chunk, so a passage of one third of all rows is a row per chunk; both levels share one shuffle by gram.
-    counted = docs.select(text).mapInArrow(_anchor_counts, "gram long, context long, n long").repartition("gram")
-    by_context = counted.groupBy("gram", "context").agg(F.sum("n").alias("copies"))
-    same_gram = Window.partitionBy("gram")
-    often = by_context.withColumns({"total": F.sum("copies").over(same_gram), "kinds": F.count("*").over(same_gram)}).where("total > 1")
-    kept = found.join(often.select("gram", "context", "copies", "kinds"), ["gram", "context"]).select(*found.columns, "copies", "kinds")
+    # Counts come pre-summed by chunk, so a gram in a third of all rows is a row per chunk and then per task.
+    grams = docs.select(text).mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
+    often = bloom.build(staged(grams, "op8-grams"))
+    found = staged(docs.select(k1, k2, text).mapInArrow(_anchor_rows(often), ANCHOR_SCHEMA), "op8-found")
+    release(spark)
+    # What passed is counted exactly, by context and from that by gram; no gram or context is one task's work.
+    by_context = staged(found.groupBy("gram", "context").agg(F.count("*").alias("copies")), "op8-counts")
+    by_gram = staged(by_context.groupBy("gram").agg(F.sum("copies").alias("total"), F.count("*").alias("kinds")).where("total > 1").select("gram", "kinds"), "op8-kinds")
+    again = skewed_join(by_context, by_gram, ["gram"], "kinds")
+    kept = skewed_join(found, staged(again, "op8-again"), ["gram", "context"], "copies")
     repeated = _unpacked(staged(kept, "op8-anchors"))
     release(spark)
     open_ = repeated.where("kinds > 1")
@@ -280,7 +313,9 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     whole = repeated.where("kinds = 1 or copies > 1").select("k1", "k2", "lo", "hi")
     wanted = contexts.select("one.k1", "one.k2", F.struct("gram", "context", "copies", "one.pos", "one.lo", "one.hi", (F.col("kinds") > hot).alias("hot")).alias("w")).groupBy("k1", "k2").agg(F.collect_list("w").alias("wanted"))
     asked = bloom.build(contexts.select("one.k1")).column(F.col("k1"))
-    bodies = docs.select(text, k1, k2).where(asked).join(wanted, ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(_extract, EXTRACT_SCHEMA)
+    # One text of all its copies goes on, so a text of very many rows is sorted once.
+    one_text = docs.select(text, k1, k2).where(asked).groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    bodies = one_text.join(wanted, ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(_extract, EXTRACT_SCHEMA)
     spans = whole
     if (contexts.agg(F.max("kinds")).first()[0] or 0) > hot:
         bodies = staged(bodies, "op8-bodies")
@@ -316,16 +351,16 @@ def cut(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def _with_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """All columns of ``docs`` with ``_los`` and ``_his``."""
+    """(document, los, his): ``docs`` as a struct with the removed spans of its text."""
     _, k1, k2 = _keys(docs)
-    spans = repeated_spans(docs, hot).withColumnsRenamed({"k1": "_k1", "k2": "_k2", "los": "_los", "his": "_his"})
-    own = docs.columns
-    keyed = docs.withColumns({"_d1": k1, "_d2": k2}).withColumn("_maybe", bloom.build(spans.select("_k1")).column(F.col("_d1")))
+    spans = repeated_spans(docs, hot).withColumnsRenamed({"k1": "s1", "k2": "s2"})
+    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("document"), k1.alias("d1"), k2.alias("d2"))
+    keyed = keyed.withColumn("maybe", bloom.build(spans.select("s1")).column(F.col("d1")))
     # Texts without any removed span are not shuffled.
     none = F.lit(None).cast("array<int>")
-    clean = keyed.where("not _maybe").select(*[F.col(f"`{c}`") for c in own], none.alias("_los"), none.alias("_his"))
-    joined = keyed.where("_maybe").join(spans, (F.col("_d1") == F.col("_k1")) & (F.col("_d2") == F.col("_k2")), "left")
-    return clean.unionByName(joined.select(*[F.col(f"`{c}`") for c in own], "_los", "_his"))
+    clean = keyed.where("not maybe").select("document", none.alias("los"), none.alias("his"))
+    joined = keyed.where("maybe").join(spans, (F.col("d1") == F.col("s1")) & (F.col("d2") == F.col("s2")), "left")
+    return clean.unionByName(joined.select("document", "los", "his"))
 
 
 def removal_digest(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -334,12 +369,13 @@ def removal_digest(docs: DataFrame, hot: int = HOT) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = []
-            for text, los, his in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            documents = batch.column(0)
+            for text, los, his in zip(documents.field("text").to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 raw, runs = (text or "").encode(), merged(los, his)
                 rows.append((len(raw), sum(b - a for a, b in runs), len(runs), hashlib.sha256(cut(raw, runs)).hexdigest()))
             cols = list(zip(*rows, strict=True)) if rows else [()] * 4
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([documents.field("doc_id"), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return _with_spans(slim, hot).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
@@ -357,12 +393,12 @@ def without_repeats(docs: DataFrame, counted: str | None = None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            los, his = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
+            los, his = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            cols = [batch.column(0).field(k) for k in range(len(names))]
             texts = [
                 None if t is None else t if not a else cut(t.encode(), merged(a, b)).decode("utf-8", "ignore")
-                for t, a, b in zip(batch.column(at).to_pylist(), los, his, strict=True)
+                for t, a, b in zip(cols[at].to_pylist(), los, his, strict=True)
             ]
-            cols = list(batch.columns[: len(names)])
             cols[at] = pa.array(texts, pa.string())
             if counted in names:
                 c = names.index(counted)
@@ -370,4 +406,4 @@ def without_repeats(docs: DataFrame, counted: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in docs.schema.fields])
-    return _with_spans(docs).mapInArrow(run, schema)
+    return _with_spans(docs.withColumn("text", F.col("text").cast("string"))).mapInArrow(run, schema)

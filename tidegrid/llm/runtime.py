@@ -9,6 +9,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch handed to Python; bounds a batch of long texts.
 BATCH_ROWS = 500
@@ -74,6 +75,21 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def skewed_join(left: DataFrame, right: DataFrame, on: list[str], weight: str, most: int = 10_000) -> DataFrame:
+    """Inner join of ``left`` with ``right``, whose keys are unique and whose ``weight`` tells a key's rows in ``left``.
+
+    Keys that weigh more than one part in ``most`` of all are fewer than
+    ``most``, whatever the tables' sizes, so they meet their rows by broadcast;
+    the others have few rows each and meet them by shuffle.
+    """
+    total = right.agg(F.sum(weight)).first()[0] or 0
+    heavy = F.col(weight) * most > F.lit(total)
+    extra = [c for c in right.columns if c not in on]
+    held = left.join(F.broadcast(right.where(heavy).withColumn("is_heavy", F.lit(True))), on, "left")
+    light = held.where("is_heavy is null").select(*left.columns).join(right.where(~heavy), on)
+    return held.where("is_heavy").select(*left.columns, *extra).unionByName(light.select(*left.columns, *extra))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of frames that are no longer referenced."""
     gc.collect()
