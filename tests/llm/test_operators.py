@@ -577,3 +577,47 @@ def test_copies_of_a_text_are_sorted_once(spark, monkeypatch):
 
 def sentence_of(rng, n):
     return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+
+def planted_pairs(rng, count):
+    """Rows of pairs whose shingle sets have a Jaccard similarity between 0.85 and 0.95, as near to it as words allow."""
+    rows = []
+    for k in range(count):
+        base = [f"p{k}w{i}" for i in range(rng.randint(60, 300))]
+        n = len(base) - 4
+        other = list(base)
+        want = rng.uniform(0.85, 0.95)
+        while True:  # the last words differ: each takes one shingle from both sets
+            gone = len([1 for x, y in zip(base, other) if x != y]) + 1
+            if (n - gone) / (n + gone) < want:
+                break
+            other[len(base) - gone] = f"q{k}w{gone}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    return rows
+
+
+def test_recall_of_planted_pairs(spark):
+    rows = planted_pairs(random.Random(17), 2000)
+    sets = [brute.shingles(t) for _, t in rows]
+    near = [k for k in range(2000) if 100 * len(sets[2 * k] & sets[2 * k + 1]) >= 85 * len(sets[2 * k] | sets[2 * k + 1])]
+    got = {r.doc_id: r.component_id for r in op5.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = [k for k in range(2000) if got[2 * k + 1] == 2 * k]
+    assert len(near) > 1900 and found == near
+
+
+def test_blocks_and_stars_lose_no_link(spark, monkeypatch):
+    """Small blocks, so a bucket's minority spans several and stars go round."""
+    rng = random.Random(18)
+    rows = []
+    for g in range(3):
+        base = ["g%dw%d" % (g, i) for i in range(120)]
+        for i in range(90):
+            words = list(base)
+            for p in rng.sample(range(120), rng.randint(0, 4)):
+                words[p] = "x%d_%d" % (i, p)
+            rows.append((1000 * g + rng.randrange(10**6), " ".join(words)))
+    want = {r[0]: c for r, (_, c) in zip(rows, brute.near_components(rows), strict=True)}
+    for block in (4, 50):
+        monkeypatch.setattr(op5, "BLOCK", block)
+        got = {r.doc_id: r.component_id for r in op5.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == want

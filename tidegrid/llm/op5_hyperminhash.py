@@ -6,10 +6,12 @@ count (6 bits) and the next 10 mantissa bits.  Equal sets form one class.
 Class representatives are banded by their compressed registers; in each
 bucket every member is paired with the bucket's least member.  Pairs are kept
 if their collision-corrected Jaccard estimate is within five standard errors
-of the threshold, and links are confirmed on full sets.  Components follow;
-in buckets that still hold several components the remaining pairs are
-compared too, in blocks and on full sets, so links that miss the least member
-are not lost.
+of the threshold, and links are confirmed on full sets.  Components follow.
+A bucket that still holds several components has pairs left to compare, those
+of its members outside its largest component with all of other components:
+while they are very many, stars around other members close more components,
+then the rest is compared in blocks and on full sets, each pair in the first
+band that it shares, so links that miss the least member are not lost.
 
 The number of bands follows the threshold, so that a pair at it shares no band
 with probability of at most 4e-7: 20 bands at 0.85, 28 at 0.8.  It falls below
@@ -17,9 +19,11 @@ the estimate filter with about 3e-7.
 
 Defined results: a null text, or one without words, has the empty set, is
 linked with nothing and is kept; a text of one to four words has its whole
-sequence as one shingle; repeated rows fall in one class and each row with the
-least doc_id is kept; where a component has no doc_id at all its first row is
-kept; an empty table gives an empty result.
+sequence as one shingle, and a very long text all of its shingles; repeated
+rows fall in one class and each row with the least doc_id is kept; where a
+component has no doc_id at all its first row is kept; a pair exactly at the
+threshold is linked; an empty table gives an empty result.  Other columns are
+ignored, or travel in one struct, so clashing names do no harm.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 from tidegrid.llm import bloom
 from tidegrid.llm import kernels as K
 from tidegrid.llm.components import components
-from tidegrid.llm.runtime import release, session, staged
+from tidegrid.llm.runtime import release, session, skewed_join, staged
 
 BANDS, ROWS = 20, 4
 #: Bound of the probability that a pair at the threshold shares no band.
@@ -199,7 +203,7 @@ class Postings:
 
 
 def _blocks(threshold: float, percent: int, count: int):
-    """Links between different components in one pair of blocks of a bucket.
+    """Links between different components, of one block of a bucket's minority with one block of all its members.
 
     Pairs whose estimate passes are confirmed on the full sets right here, one
     member against all by postings, and only links leave the task.  A link
@@ -210,18 +214,23 @@ def _blocks(threshold: float, percent: int, count: int):
     def run(key, table):
         table = table.combine_chunks()
         node, root, n = (np.array(table.column(c)).copy() for c in ("node", "root", "n"))
-        block, regs = np.array(table.column("block")), _matrix(table.column("regs"), count)
+        minor, regs = np.array(table.column("minor")), _matrix(table.column("regs"), count)
+        band = table.column("band")[0].as_py()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
-        i_block, j_block = key[1].as_py(), key[2].as_py()
-        left, right = np.flatnonzero(block == i_block), np.flatnonzero(block == j_block)
+        at_left = np.array(table.column("is_left"))
+        left, right = np.flatnonzero(at_left), np.flatnonzero(~at_left)
         us, vs = [], []
         held = Postings([sets[y] for y in right]) if len(right) else None
         for x in left:
-            y = right[right > x] if i_block == j_block else right
-            y = y[(root[y] != root[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
-            if len(y):
-                e = estimate(np.broadcast_to(regs[x], (len(y), count)), regs[y], np.full(len(y), float(n[x])), n[y].astype(float))
-                y = y[e >= threshold]
+            # Two members of the minority meet twice, and are compared once.
+            near = (root[right] != root[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x])) & (~minor[right] | (node[right] > node[x]))
+            y = right[near]
+            if not len(y):
+                continue
+            same = regs[y] == regs[x]
+            first = same.reshape(len(y), -1, ROWS).all(2).argmax(1) == band
+            chance = collision_rate(np.full(int(first.sum()), float(n[x])), n[y[first]].astype(float))
+            y = y[first][(same[first].mean(1) - chance) / (1 - chance) >= threshold]
             if not len(y):
                 continue
             common = held.common(sets[x])[np.searchsorted(right, y)]
@@ -235,6 +244,16 @@ def _blocks(threshold: float, percent: int, count: int):
     return run
 
 
+def _merged(roots: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``roots`` (node, root) with the components that ``links`` (u, v) join, as a written table."""
+    at = lambda end: roots.withColumnsRenamed({"node": end, "root": f"r{end}"})
+    joined = links.join(at("u"), "u", "left").join(at("v"), "v", "left").select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))
+    top = components(joined, f"{name}-cc").select(F.col("root").alias("top"), F.col("node").alias("root"))
+    ends = links.select(F.col("u").alias("node")).union(links.select("v")).distinct().join(roots, "node", "left_anti")
+    every = roots.unionByName(ends.withColumn("root", F.col("node")))
+    return staged(every.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")), name)
+
+
 def classes_and_links(docs: DataFrame, percent: int = 85, row: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The signed documents (doc_id, row, n, hi, lo, regs, text) and (hi, lo, node, class_doc, least, root) of each class of equal sets.
 
@@ -265,45 +284,62 @@ def classes_and_links(docs: DataFrame, percent: int = 85, row: str | None = None
         )
         return with_text.select("u", "v", "u_text", "v_text").mapInArrow(_verifier(percent), "u long, v long")
 
-    banded = reps.select("node", F.explode(F.array([F.xxhash64(F.lit(b), F.substring("regs", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(bands)])).alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("members")).where("members > 1")
-    members = staged(banded.join(buckets, "key").where("node != center").select("key", "node", "center"), "op5-members")
-    pairs = members.select(F.col("node").alias("u"), F.col("center").alias("v")).distinct()
-    sized = (
-        pairs.join(reps.withColumnsRenamed({"node": "u", "n": "un", "regs": "ur"}), "u")
-        .join(reps.withColumnsRenamed({"node": "v", "n": "vn", "regs": "vr"}), "v")
-        .where(100 * F.least("un", "vn") >= percent * F.greatest("un", "vn"))
-    )
-    near = staged(sized.select("u", "v", "ur", "un", "vr", "vn").mapInArrow(_estimator(threshold, count), "u long, v long"), "op5-near")
-    release(spark)
-    links = staged(verified(near), "op5-links")
+    keys = F.array([F.xxhash64(F.lit(b), F.substring("regs", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(bands)])
+    banded = reps.select("node", F.posexplode(keys).alias("band", "key"))
+    buckets = staged(banded.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("members")).where("members > 1"), "op5-buckets")
+    members = staged(skewed_join(banded, buckets, ["key"], "members").where("node != center").select("key", "band", "node", "center"), "op5-members")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The links among the pairs (u, v): estimated on registers, then confirmed."""
+        sized = (
+            pairs.join(reps.withColumnsRenamed({"node": "u", "n": "un", "regs": "ur"}), "u")
+            .join(reps.withColumnsRenamed({"node": "v", "n": "vn", "regs": "vr"}), "v")
+            .where(100 * F.least("un", "vn") >= percent * F.greatest("un", "vn"))
+        )
+        near = staged(sized.select("u", "v", "ur", "un", "vr", "vn").mapInArrow(_estimator(threshold, count), "u long, v long"), "op5-near")
+        release(spark)
+        return staged(verified(near), "op5-links")
+
+    links = confirmed(members.select(F.col("node").alias("u"), F.col("center").alias("v")).distinct())
     roots = staged(components(links, "op5-cc"), "op5-roots")
 
-    # Buckets whose members, the center apart, are still of several components: their other pairs, in blocks.
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("members")).where("a != b").select("key", "members")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    open_rows = (
-        rooted.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
-        .join(reps, "node")
-    )
-    open_nodes = staged(rooted.join(mixed.select("key"), "key", "left_semi").select("node").distinct(), "op5-open")
+    # Buckets whose members, the center apart, are still of several components.
+    star = 0
+    while True:
+        rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        kinds = rooted.groupBy("key", "root").agg(F.count("*").alias("c"))
+        mixed = kinds.groupBy("key").agg(F.sum("c").alias("members"), F.max(F.struct("c", "root")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
+        mixed = staged(mixed.select("key", "members", F.col("top.root").alias("main"), (F.col("members") - F.col("top.c")).alias("minority")), "op5-mixed")
+        if not (mixed.agg(F.max("minority")).first()[0] or 0) > BLOCK:
+            break
+        # Very many pairs are left: stars around other members first.
+        star += 1
+        open_members = staged(skewed_join(rooted, mixed, ["key"], "members").select("key", "node", "root"), "op5-open")
+        centers = open_members.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(star), "node").alias("h"), F.col("node").alias("v"), F.col("root").alias("vr"))).alias("c"))
+        centers = centers.join(mixed.select("key", "members"), "key").select("key", "members", "c.v", "c.vr")
+        spokes = skewed_join(open_members, staged(centers, "op5-centers"), ["key"], "members").where("root != vr").select(F.col("node").alias("u"), "v").distinct()
+        more = confirmed(spokes)
+        if more.isEmpty():
+            break
+        roots = _merged(roots, more, "op5-roots")
+
+    # The other pairs of such buckets, in blocks: a block of the members outside the main component with a block of all.
+    opened = skewed_join(rooted, mixed, ["key"], "members").withColumn("minor", F.col("root") != F.col("main"))
+    of = lambda size: F.ceil(F.col(size) / BLOCK).cast("int")
+    block = lambda size: F.pmod(F.xxhash64("node"), of(size)).cast("int")
+    every = lambda size: F.explode(F.sequence(F.lit(0), of(size) - 1))
+    cols = ["key", "band", "node", "root", "minor"]
+    as_right = opened.select(*cols, F.lit(False).alias("is_left"), every("minority").alias("i"), block("members").alias("j"))
+    as_left = opened.where("minor").select(*cols, F.lit(True).alias("is_left"), block("minority").alias("i"), every("members").alias("j"))
+    open_rows = as_right.unionByName(as_left).join(reps, "node")
+    open_nodes = staged(opened.select("node").distinct(), "op5-open")
     open_texts = texts.where(bloom.build(open_nodes).column(F.col("row"))).withColumnRenamed("row", "node").join(open_nodes, "node")
     open_sets = open_texts.select("node", "text").mapInArrow(_shingle_sets, "node long, set binary")
-    more = open_rows.join(open_sets, "node").groupBy("key", "i", "j").applyInArrow(_blocks(threshold, percent, count), "u long, v long")
-    second = staged(more.distinct(), "op5-links2")
+    second = open_rows.join(open_sets, "node").groupBy("key", "i", "j").applyInArrow(_blocks(threshold, percent, count), "u long, v long")
+    second = staged(second.distinct(), "op5-links2")
     release(spark)
-    joined = (
-        second.join(roots.withColumnsRenamed({"node": "u", "root": "ru"}), "u", "left").join(roots.withColumnsRenamed({"node": "v", "root": "rv"}), "v", "left")
-        .select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))
-    )
-    top = components(joined, "op5-cc2").withColumnsRenamed({"node": "mid", "root": "top"})
-    label = (
-        classes.join(roots, "node", "left").withColumn("mid", F.coalesce("root", "node"))
-        .join(top, "mid", "left").withColumn("root", F.coalesce("top", "mid")).select("hi", "lo", "node", "class_doc", "least", "root")
-    )
+    roots = _merged(roots, second, "op5-roots")
+    label = classes.join(roots, "node", "left").select("hi", "lo", "node", "class_doc", "least", F.coalesce("root", "node").alias("root"))
     return signed, staged(label, "op5-labels")
 
 
