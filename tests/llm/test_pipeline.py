@@ -50,7 +50,8 @@ def quality(rows, labels):
 
 
 def near(rows):
-    return [r for r, (_, c) in zip(rows, brute.near_components([(r["doc_id"], r["text"]) for r in rows]), strict=True) if r["doc_id"] == c]
+    """The stage links at a similarity of 0.8 or more."""
+    return [r for r, (_, c) in zip(rows, brute.near_components([(r["doc_id"], r["text"]) for r in rows], 80), strict=True) if r["doc_id"] == c]
 
 
 def repeats(rows):
@@ -85,14 +86,22 @@ def mixed(rows):
             place[r["doc_id"]] = rank / (1 + rank)
         chosen, left = set(), rest
         order = sorted(by[s], key=lambda r: place[r["doc_id"]])
-        for r in order:
-            if size[r["doc_id"]] > left:
+        passing = order
+        while True:
+            for r in passing:
+                if size[r["doc_id"]] > left:
+                    break
+                chosen.add(r["doc_id"])
+                left -= size[r["doc_id"]]
+            others = [r["doc_id"] for r in order if r["doc_id"] not in chosen and 0 < size[r["doc_id"]] < 2 * left]
+            if not others:
                 break
-            chosen.add(r["doc_id"])
-            left -= size[r["doc_id"]]
-        others = [r["doc_id"] for r in order if r["doc_id"] not in chosen and 0 < size[r["doc_id"]] < 2 * left]
-        if others:
-            chosen.add(min(others, key=lambda i: (abs(size[i] - left), place[i])))
+            best = min(others, key=lambda i: (abs(size[i] - left), place[i]))
+            if abs(size[best] - left) <= min(size[i] for i in others):
+                chosen.add(best)
+                break
+            # Documents longer than the gap are passed over, and the order goes on.
+            passing = [r for r in order if r["doc_id"] in others and size[r["doc_id"]] <= math.floor(left)]
         for r in by[s]:
             out += [r] * (whole + (r["doc_id"] in chosen and pi > 0))
     return out
