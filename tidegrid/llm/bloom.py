@@ -5,7 +5,7 @@ what tasks and the driver receive.  Beyond it more rows pass than need be; the
 join that follows decides, so results never depend on the filter.
 """
 
-from __future__ import annotations
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -51,6 +51,25 @@ class Bloom:
         return test(key)
 
 
+    def first_column(self, key: Column, other: Column) -> Column:
+        """True for the first row of a task with its pair of keys, where ``key`` may be held."""
+        held = self
+
+        @F.pandas_udf(T.BooleanType())
+        def test(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            seen: set[tuple[int, int]] = set()
+            for x, y in batches:
+                a, b = x.to_numpy().astype(np.int64), y.to_numpy().astype(np.int64)
+                out = held.may_hold(a)
+                for k in np.flatnonzero(out):
+                    pair = (int(a[k]), int(b[k]))
+                    out[k] = pair not in seen
+                    seen.add(pair)
+                yield pd.Series(out)
+
+        return test.asNondeterministic()(key, other)
+
+
 def build(keys: DataFrame) -> Bloom:
     """A filter of the one long column of ``keys`` (a written table: it is counted first)."""
     count = keys.count()

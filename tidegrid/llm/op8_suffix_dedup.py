@@ -312,10 +312,9 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     )
     whole = repeated.where("kinds = 1 or copies > 1").select("k1", "k2", "lo", "hi")
     wanted = contexts.select("one.k1", "one.k2", F.struct("gram", "context", "copies", "one.pos", "one.lo", "one.hi", (F.col("kinds") > hot).alias("hot")).alias("w")).groupBy("k1", "k2").agg(F.collect_list("w").alias("wanted"))
-    asked = bloom.build(contexts.select("one.k1")).column(F.col("k1"))
-    # One text of all its copies goes on, so a text of very many rows is sorted once.
-    one_text = docs.select(text, k1, k2).where(asked).groupBy("k1", "k2").agg(F.first("text").alias("text"))
-    bodies = one_text.join(wanted, ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(_extract, EXTRACT_SCHEMA)
+    asked = bloom.build(contexts.select("one.k1")).first_column(F.col("k1"), F.col("k2"))
+    # Of a text's copies each task sends on one, so a text of very many rows is no hot key of the join or the sort.
+    bodies = docs.select(text, k1, k2).where(asked).join(wanted, ["k1", "k2"]).select("text", "k1", "k2", "wanted").mapInArrow(_extract, EXTRACT_SCHEMA)
     spans = whole
     if (contexts.agg(F.max("kinds")).first()[0] or 0) > hot:
         bodies = staged(bodies, "op8-bodies")
