@@ -250,6 +250,24 @@ def test_bpe_against_tiktoken(odd, odd_rows):
     assert multiset(op6.encode_digest(odd, RANKS, public_tokenizers.PATTERN).collect()) == want
 
 
+def test_long_texts_in_chunk_rows(spark):
+    """A text without white space gives many pieces; all of them are stitched back."""
+    rng = random.Random(19)
+    cjk = "".join(rng.choice("日本語文字列漢字") * rng.randint(1, 9) + rng.choice("。、！") for _ in range(70_000))[:400_000]
+    enc = op6.encoder(RANKS, public_tokenizers.PATTERN)
+    texts = [cjk, "word " * 30_000, "x" * 50_000 + " y" * 30_000, "a'b 1\n" * 20_000, "ß" * 40_000, " " * 70_000, "\n \n" * 30_000, cjk, "short", None, ""]
+    docs = spark.createDataFrame([(i if i else None, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    pieces = op6.encoded_pieces(docs.where("doc_id is null"), RANKS, public_tokenizers.PATTERN).collect()
+    assert len(pieces) > 20
+    want = Counter()
+    for i, t in enumerate(texts):
+        ids = enc.encode_ordinary(t or "")
+        want[i or None, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
+    assert multiset(op6.encode_digest(docs, RANKS, public_tokenizers.PATTERN).collect()) == want
+    got = {r.doc_id: r.ids for r in op6.token_ids(docs, RANKS, public_tokenizers.PATTERN).collect()}
+    assert all(got[i or None] == enc.encode_ordinary(t or "") for i, t in enumerate(texts))
+
+
 def test_stitched_pieces_encode_as_one():
     enc = op6.encoder(RANKS, public_tokenizers.PATTERN)
     assert isinstance(enc, tiktoken.Encoding)
@@ -619,5 +637,6 @@ def test_blocks_and_stars_lose_no_link(spark, monkeypatch):
     want = {r[0]: c for r, (_, c) in zip(rows, brute.near_components(rows), strict=True)}
     for block in (4, 50):
         monkeypatch.setattr(op5, "BLOCK", block)
+        monkeypatch.setattr(op5, "LARGE", 1)
         got = {r.doc_id: r.component_id for r in op5.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
         assert got == want

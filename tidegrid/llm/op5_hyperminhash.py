@@ -46,8 +46,9 @@ BANDS, ROWS = 20, 4
 MISS = 4e-7
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
-#: Members of a block of a large bucket.
+#: Members of a block of a large bucket, and blocks of its minority beyond which stars close more components first.
 BLOCK = 1024
+LARGE = 16
 
 
 def bands_for(percent: int) -> int:
@@ -304,24 +305,22 @@ def classes_and_links(docs: DataFrame, percent: int = 85, row: str | None = None
     roots = staged(components(links, "op5-cc"), "op5-roots")
 
     # Buckets whose members, the center apart, are still of several components.
-    star = 0
+    star, last = 0, math.inf
     while True:
         rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         kinds = rooted.groupBy("key", "root").agg(F.count("*").alias("c"))
         mixed = kinds.groupBy("key").agg(F.sum("c").alias("members"), F.max(F.struct("c", "root")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
         mixed = staged(mixed.select("key", "members", F.col("top.root").alias("main"), (F.col("members") - F.col("top.c")).alias("minority")), "op5-mixed")
-        if not (mixed.agg(F.max("minority")).first()[0] or 0) > BLOCK:
+        left = mixed.agg(F.max("minority")).first()[0] or 0
+        if left <= LARGE * BLOCK or left > 0.9 * last:
             break
-        # Very many pairs are left: stars around other members first.
-        star += 1
+        # Very many pairs are left: stars around other members first, while that helps.
+        star, last = star + 1, left
         open_members = staged(skewed_join(rooted, mixed, ["key"], "members").select("key", "node", "root"), "op5-open")
         centers = open_members.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(star), "node").alias("h"), F.col("node").alias("v"), F.col("root").alias("vr"))).alias("c"))
         centers = centers.join(mixed.select("key", "members"), "key").select("key", "members", "c.v", "c.vr")
         spokes = skewed_join(open_members, staged(centers, "op5-centers"), ["key"], "members").where("root != vr").select(F.col("node").alias("u"), "v").distinct()
-        more = confirmed(spokes)
-        if more.isEmpty():
-            break
-        roots = _merged(roots, more, "op5-roots")
+        roots = _merged(roots, confirmed(spokes), "op5-roots")
 
     # The other pairs of such buckets, in blocks: a block of the members outside the main component with a block of all.
     opened = skewed_join(rooted, mixed, ["key"], "members").withColumn("minor", F.col("root") != F.col("main"))
