@@ -97,17 +97,49 @@ def test_feistel_is_a_permutation(n):
 
 
 def test_training_order_reads_back(odd, odd_rows, tmp_path, empty):
+    """Every column against a plain version, and every slot read back."""
     out = f"file://{tmp_path}/shards"
-    rows = op3.training_order(odd, out, length=64, per_shard=100).collect()
-    assert sorted(r.slot for r in rows) == list(range(len(rows)))
-    texts = {r[0]: (r[1] or "").encode() for r in odd_rows}
-    assert len(rows) == sum(-(-len((r[1] or "").encode()) // 64) for r in odd_rows)
+    enc = op6.encoder(RANKS, public_tokenizers.PATTERN)
+    rows = op3.training_order(odd, out, RANKS, public_tokenizers.PATTERN, length=64, per_shard=100).collect()
+    want = Counter()
+    for r in odd_rows:
+        ids = enc.encode_ordinary(r[1] or "")
+        for k in range(0, len(ids), 64):
+            want[r[0], k // 64, tuple(ids[k : k + 64])] += 1
+    assert op3.manifest(out) == {"sequences": len(rows), "length": 64, "per_shard": 100, "shards": -(-len(rows) // 100), "key": 3, "id_bytes": 2}
+    assert sorted(p.name for p in (tmp_path / "shards").iterdir() if not p.name.startswith(".")) == ["manifest.json"] + [f"shard-{k:08d}.bin" for k in range(-(-len(rows) // 100))]
     by = {r.slot: r for r in rows}
-    for slot, ids in enumerate(op3.read_slots(out, 0, len(rows), length=64, per_shard=100)):
-        assert ids.tobytes() == texts[by[slot].doc_id][64 * by[slot].seq :][:64]
-    resumed = list(op3.read_slots(out, 150, 260, length=64, per_shard=100))
-    assert len(resumed) == 110 and resumed[0].tobytes() == texts[by[150].doc_id][64 * by[150].seq :][:64]
-    assert op3.training_order(empty, f"file://{tmp_path}/none").count() == 0
+    assert sorted(by) == list(range(len(rows))) == sorted(op3.feistel(np.arange(len(rows)), len(rows), 3))
+    read = list(op3.read_slots(out, 0, len(rows)))
+    assert Counter((by[s].doc_id, by[s].seq, tuple(ids.tolist())) for s, ids in enumerate(read)) == want
+    for s, ids in enumerate(read):
+        r = by[s]
+        record = len(ids).to_bytes(2, "little") + ids.astype("<u2").tobytes() + bytes(128 - 2 * len(ids))
+        assert (r.shard, r.byte_offset, r.n_tokens, r.record_crc32) == (s // 100, s % 100 * 130, len(ids), zlib.crc32(record))
+        assert (tmp_path / "shards" / f"shard-{r.shard:08d}.bin").read_bytes()[r.byte_offset :][:130] == record
+    resumed = list(op3.read_slots(out, 150, 260))
+    assert len(resumed) == 110 and all((a == b).all() for a, b in zip(resumed, read[150:]))
+    none = op3.training_order(empty, f"file://{tmp_path}/none", RANKS, public_tokenizers.PATTERN)
+    assert none.count() == 0 and op3.manifest(f"file://{tmp_path}/none")["sequences"] == 0
+    with pytest.raises(FileNotFoundError):
+        op3.manifest(f"file://{tmp_path}")
+
+
+def test_shards_are_complete_before_anything_is_read(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} " * 300) for i in range(60)], "doc_id long, text string")
+    out = f"file://{tmp_path}/set"
+    op3.training_order(docs, out, RANKS, public_tokenizers.PATTERN, length=32, per_shard=50).limit(1).collect()
+    assert len(list((tmp_path / "set").glob("shard-*.bin"))) == op3.manifest(out)["shards"] > 10 and not list((tmp_path / "set").glob(".*.part"))
+
+
+def test_a_placed_shard_stays(tmp_path):
+    from pyarrow import fs
+
+    local = fs.LocalFileSystem()
+    for name in ("a.part", "b.part"):
+        (tmp_path / name).write_bytes(name.encode())
+        op3._place(local, str(tmp_path / name), str(tmp_path / "shard"))
+    assert [(p.name, p.read_bytes()) for p in tmp_path.iterdir()] == [("shard", b"a.part")]
 
 
 # 4 -----------------------------------------------------------------------------------

@@ -1,26 +1,31 @@
 """Training-order materialisation of token sequences.
 
-Every text becomes byte tokens (ids 0-255), cut into sequences of ``length``
-tokens.  The N sequences are numbered gaplessly in scan order; a keyed Feistel
-network over the least even-bit domain that holds N, with cycle-walking,
-permutes the numbers to global slots.  Slots are dealt by range to shards of
-``per_shard`` fixed-stride records, so slot s is record ``s % per_shard`` of
-shard ``s // per_shard``, and a reader can seek to any slot and resume.
-
-Records cross the shuffle zstd-compressed, with a dictionary trained on a
-bounded sample of excerpts, so that moving all sequences once costs less disk
-than the shards themselves.
-
-A record is the token count (two bytes, little-endian) and the ids, padded
-with zeros to ``length`` bytes.  A shard is written under a temporary name by
-one task and renamed, so a lost executor leaves no half shard.
-
-Defined results: null and empty texts give no sequence; repeated rows give
-sequences of their own; an empty table gives no shard.
+Texts become BPE token ids, cut into sequences of ``length`` ids.  The N
+sequences are numbered gaplessly; a keyed Feistel network over the least
+even-bit domain that holds N, with cycle-walking, permutes the numbers to
+global slots.  Slots are range-partitioned: each task takes a run of shards
+and writes them as fixed-stride records, so slot s is record ``s % per_shard``
+of shard ``s // per_shard``, and a reader can seek to any slot and resume.
+
+The ids are written once with each row's place among the sequences of its
+part, so the numbers stay the same whatever is read again.  The shards are
+written when ``training_order`` is called, not when its result is read.  A
+shard is written under a temporary name by one task and renamed; an attempt
+that finds the shard there leaves it, since all attempts write the same bytes.
+The manifest comes last: a folder without one is incomplete.
+
+A record is the id count (two bytes) and the ids (two bytes each, four where
+the vocabulary is larger than 65,536), little-endian, padded with zeros.
+
+Defined results: null and empty texts give no sequence; a very long text gives
+all of its sequences; repeated rows give sequences of their own; no two
+sequences tie for a slot; an empty table gives a manifest and no shard.
+Columns other than doc_id and text are ignored, so clashing names do no harm.
 """
 
 from __future__ import annotations
 
+import json
 import posixpath
 import uuid
 import zlib
@@ -29,19 +34,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm import kernels as K
-from tidegrid.llm.runtime import session
+from tidegrid.llm import op6_bpe
+from tidegrid.llm.runtime import session, staged
 
 LENGTH = 512
 PER_SHARD = 16_384
 ROUNDS = 6
-#: Bounds of the dictionary's training sample, and its size.
-SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 4096, 65_536
+#: Sequences of one batch of records.
+BATCH = 2048
+MANIFEST = "manifest.json"
 
 
 def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -65,124 +71,147 @@ def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _sizes(text: pa.Array) -> np.ndarray:
-    return np.diff(K.buffers(text)[1])
+def numbered(tokens: DataFrame, length: int, kind: str) -> DataFrame:
+    """``tokens`` (doc_id, ids) as a written table (part, at, sequences, doc_id, ids): ``at`` is the row's first sequence in its part."""
 
-
-def record_dictionary(rows: DataFrame, length: int) -> bytes:
-    """A zstd dictionary for records, from a bounded sample; empty where the sample is too small for one."""
-    excerpts = [r["t"].encode() for r in rows.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).where("t is not null").limit(SAMPLE_ROWS).collect()]
-    records = [x[i : i + length] for x in excerpts for i in range(0, len(x), length)]
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, records).as_bytes()
-    except zstandard.ZstdError:
-        return b""
-
-
-def training_order(docs: DataFrame, out: str, *, key: int = 3, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
-    """Write the shards under the URI ``out``; one row per sequence: where it is and what it holds.
-
-    The scan's partitions are read twice, first for their sequence counts (one
-    number a partition reaches the driver), then for the sequences.  If a
-    partition's count differs the second time, the task fails rather than
-    writing a wrong order.
-    """
+    def run(batches):
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            ids = batch.column(1)
+            bounds = np.array(ids.offsets).astype(np.int64)
+            flat = np.array(ids.values)[bounds[0] : bounds[-1]].astype(kind)
+            bounds -= bounds[0]
+            own = -(-np.diff(bounds) // length)
+            first = at + np.concatenate([[0], np.cumsum(own)[:-1]]).astype(np.int64)
+            at += int(own.sum())
+            size = flat.dtype.itemsize
+            offsets = pa.array(bounds * size, pa.int64())
+            body = pa.Array.from_buffers(pa.large_binary(), len(own), [None, offsets.buffers()[1], pa.py_buffer(flat.tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), part, np.int32)), pa.array(first), pa.array(own.astype(np.int64)), batch.column(0), body], names=["part", "at", "sequences", "doc_id", "ids"])
+
+    table = tokens.mapInArrow(run, "part int, at long, sequences long, doc_id long, ids binary").where("sequences > 0")
+    return staged(table, "op3-ids")
+
+
+def training_order(
+    docs: DataFrame, out: str, rank_file: str, pattern: str, *, key: int = 3, length: int = LENGTH, per_shard: int = PER_SHARD
+) -> DataFrame:
+    """Write the shards and the manifest under the URI ``out``; one row per sequence: where it is and what it holds."""
     spark = session(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-    def count(batches):
-        total = sum(int((-(-_sizes(b.column(1)) // length)).sum()) for b in batches)
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total], pa.int64())], names=["part", "n"])
-
-    dictionary = record_dictionary(rows, length)
-    counts = dict(rows.mapInArrow(count, "part int, n long").collect())
-    first, n = {}, 0
-    for part in sorted(counts):
-        first[part] = n
-        n += counts[part]
+    kind = "<u2" if op6_bpe.encoder(rank_file, pattern).n_vocab <= 1 << 16 else "<u4"
+    rows = numbered(op6_bpe.token_ids(docs, rank_file, pattern, checked=False), length, kind)
+    # One narrow row a part; parts are the input's partitions, in the order of their numbers.
+    totals = rows.groupBy("part").agg(F.sum("sequences").alias("total"))
+    before = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = staged(totals.select("part", before.alias("offset"), "total"), "op3-parts")
+    n = parts.agg(F.sum("total")).first()[0] or 0
+    width = np.dtype(kind).itemsize
 
     def cut(batches):
-        part = TaskContext.get().partitionId()
-        at = first.get(part, 0)
-        pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=True).compress
         for batch in batches:
-            for i, j, raw, offs in K.chunks(batch.column(1)):
-                sizes = np.diff(offs)
-                parts = -(-sizes // length)
-                row = np.repeat(np.arange(j - i), parts)
-                total = np.concatenate([[0], np.cumsum(parts)])
-                seq = np.arange(total[-1]) - total[row]
-                start = offs[:-1][row] + seq * length
-                stop = np.minimum(start + length, offs[1:][row])
-                whole = raw.tobytes()
-                body = pa.array([pack(whole[a:b]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)], pa.binary())
-                slot = feistel(np.arange(at, at + len(start)), n, key) if len(start) else np.zeros(0, np.int64)
-                at += len(start)
-                ids = batch.column(0).slice(i, j - i).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((slot // per_shard).astype(np.int32)), pa.array(slot), ids, pa.array(seq.astype(np.int32)), body],
-                    names=["shard", "slot", "doc_id", "seq", "tokens"],
-                )
-        if at - first.get(part, 0) != counts.get(part, 0):
-            raise RuntimeError("the input's partitions changed between the two scans")
+            raw, offs = K.buffers(batch.column(3))
+            first, own = np.array(batch.column(0)), np.array(batch.column(1))
+            row = np.repeat(np.arange(batch.num_rows), own)
+            seq = np.arange(len(row)) - np.repeat(np.concatenate([[0], np.cumsum(own)[:-1]]), own) if len(row) else np.zeros(0, np.int64)
+            start = offs[:-1][row] + seq * (length * width)
+            stop = np.minimum(start + length * width, offs[1:][row])
+            slot = feistel(first[row] + seq, n, key) if len(row) else np.zeros(0, np.int64)
+            for i in range(0, len(row), BATCH):
+                one = slice(i, i + BATCH)
+                body = pa.array([raw[a:b].tobytes() for a, b in zip(start[one].tolist(), stop[one].tolist(), strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(slot[one]), batch.column(2).take(pa.array(row[one])), pa.array(seq[one].astype(np.int32)), body], names=["slot", "doc_id", "seq", "tokens"])
 
     def write(batches):
-        yield from _write_shards(batches, out, length, per_shard, dictionary)
-
-    shards = max(1, -(-n // per_shard))
-    ordered = (
-        rows.mapInArrow(cut, "shard int, slot long, doc_id long, seq int, tokens binary")
-        .repartition(shards, "shard").sortWithinPartitions("slot")
-    )
-    return ordered.mapInArrow(write, "slot long, shard int, byte_offset long, doc_id long, seq int, n_tokens int, record_crc32 long")
-
-
-def _write_shards(batches: Iterator[pa.RecordBatch], out: str, length: int, per_shard: int, dictionary: bytes) -> Iterator[pa.RecordBatch]:
+        yield from _write_shards(batches, out, length, per_shard, width)
+
+    shards = -(-n // per_shard)
+    tasks = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    placed = rows.join(F.broadcast(parts), "part") if parts.count() <= 1_000_000 else rows.join(parts, "part")
+    placed = placed.select((F.col("offset") + F.col("at")).alias("first"), "sequences", "doc_id", "ids")
+    sequences = placed.mapInArrow(cut, "slot long, doc_id long, seq int, tokens binary")
+    # Ranges of whole shards: task t takes the shards from t * shards / tasks on.
+    shard = F.call_function("div", F.col("slot"), F.lit(per_shard))
+    ranged = sequences.repartitionById(tasks, F.call_function("div", shard * tasks, F.lit(max(shards, 1))).cast("int")).sortWithinPartitions("slot")
+    index = staged(ranged.mapInArrow(write, "slot long, shard int, byte_offset long, doc_id long, seq int, n_tokens int, record_crc32 long"), "op3-index")
+    _write_text(spark, posixpath.join(out, MANIFEST), json.dumps({"sequences": n, "length": length, "per_shard": per_shard, "shards": shards, "key": key, "id_bytes": width}))
+    return index
+
+
+def _write_text(spark: SparkSession, uri: str, text: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def _place(fs: pafs.FileSystem, temporary: str, name: str) -> None:
+    """Rename a finished shard; where another attempt has placed it already, that one stays."""
+    if fs.get_file_info(name).type == pafs.FileType.NotFound:
+        try:
+            fs.move(temporary, name)
+            return
+        except OSError:
+            if fs.get_file_info(name).type == pafs.FileType.NotFound:
+                raise
+    fs.delete_file(temporary)
+
+
+def _write_shards(batches: Iterator[pa.RecordBatch], out: str, length: int, per_shard: int, width: int) -> Iterator[pa.RecordBatch]:
     fs, root = pafs.FileSystem.from_uri(out)
     fs.create_dir(root, recursive=True)
-    stride = length + 2
+    stride = 2 + length * width
     current, stream, temporary = None, None, ""
-    unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary)).decompress
 
     def close():
         if stream is not None:
             stream.close()
-            fs.move(temporary, posixpath.join(root, f"shard-{current:08d}.bin"))
-
-    for batch in batches:
-        shard = np.array(batch.column(0))
-        bodies = [unpack(x) for x in batch.column(4).to_pylist()]
-        sizes = np.array([len(x) for x in bodies], np.int64)
-        raw = np.frombuffer(b"".join(bodies), np.uint8)
-        records = np.zeros((len(sizes), stride), np.uint8)
-        records[:, :2] = sizes.astype("<u2").view(np.uint8).reshape(-1, 2)
-        inside = np.arange(length) < sizes[:, None]
-        records[:, 2:][inside] = raw
-        for one in np.unique(shard):
-            if one != current:
-                close()
-                current, temporary = int(one), posixpath.join(root, f".{uuid.uuid4().hex}.part")
-                stream = fs.open_output_stream(temporary)
-            stream.write(records[shard == one].tobytes())
-        slot = np.array(batch.column(1))
-        crc = [zlib.crc32(r) for r in records]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(1), batch.column(0), pa.array(slot % per_shard * stride), batch.column(2), batch.column(3), pa.array(sizes.astype(np.int32)), pa.array(crc, pa.int64())],
-            names=["slot", "shard", "byte_offset", "doc_id", "seq", "n_tokens", "record_crc32"],
-        )
-    close()
-
-
-def read_slots(out: str, start: int, stop: int, *, length: int = LENGTH, per_shard: int = PER_SHARD) -> Iterator[np.ndarray]:
+            _place(fs, temporary, posixpath.join(root, f"shard-{current:08d}.bin"))
+
+    try:
+        for batch in batches:
+            raw, offs = K.buffers(batch.column(3))
+            slot, sizes = np.array(batch.column(0)), np.diff(offs)
+            records = np.zeros((len(sizes), stride), np.uint8)
+            records[:, :2] = (sizes // width).astype("<u2").view(np.uint8).reshape(-1, 2)
+            records[:, 2:][np.arange(stride - 2) < sizes[:, None]] = raw
+            shard = slot // per_shard
+            for one in np.unique(shard):
+                if one != current:
+                    close()
+                    current, temporary = int(one), posixpath.join(root, f".{uuid.uuid4().hex}.part")
+                    stream = fs.open_output_stream(temporary)
+                stream.write(records[shard == one].tobytes())
+            crc = [zlib.crc32(r) for r in records]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(shard.astype(np.int32)), pa.array(slot % per_shard * stride), batch.column(1), batch.column(2), pa.array((sizes // width).astype(np.int32)), pa.array(crc, pa.int64())],
+                names=["slot", "shard", "byte_offset", "doc_id", "seq", "n_tokens", "record_crc32"],
+            )
+        close()
+        stream = None
+    finally:
+        if stream is not None and not stream.closed:  # a stopped attempt leaves no part behind
+            stream.close()
+            fs.delete_file(temporary)
+
+
+def manifest(out: str) -> dict:
+    """What a complete folder holds; an incomplete one has no manifest and raises ``FileNotFoundError``."""
+    fs, root = pafs.FileSystem.from_uri(out)
+    with fs.open_input_file(posixpath.join(root, MANIFEST)) as f:
+        return json.loads(f.read())
+
+
+def read_slots(out: str, start: int, stop: int) -> Iterator[np.ndarray]:
     """Token ids of slots ``[start, stop)`` in order; begin anywhere to resume."""
+    about = manifest(out)
+    length, per_shard, width = about["length"], about["per_shard"], about["id_bytes"]
     fs, root = pafs.FileSystem.from_uri(out)
-    stride, slot = length + 2, start
+    stride, slot, stop = 2 + length * width, start, min(stop, about["sequences"])
     while slot < stop:
         with fs.open_input_file(posixpath.join(root, f"shard-{slot // per_shard:08d}.bin")) as f:
             f.seek(slot % per_shard * stride)
             for _ in range(min(stop, (slot // per_shard + 1) * per_shard) - slot):
-                record = np.frombuffer(f.read(stride), np.uint8)
-                if len(record) < stride:
-                    return
-                yield record[2 : 2 + int(record[0]) + 256 * int(record[1])]
+                record = f.read(stride)
+                count = int.from_bytes(record[:2], "little")
+                yield np.frombuffer(record, f"<u{width}", count, 2)
                 slot += 1

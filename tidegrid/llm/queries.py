@@ -18,7 +18,7 @@ from tidegrid.llm import op7_mixing as op7
 from tidegrid.llm import op8_suffix_dedup as op8
 from tidegrid.llm import op9_media as op9
 from tidegrid.llm import op10_rendezvous as op10
-from tidegrid.llm.runtime import documents, shared_dir
+from tidegrid.llm.runtime import documents, scratch
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -32,7 +32,7 @@ def op2_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op3.training_order(documents(spark, sf_dir), f"{shared_dir(spark)}/op3-{uuid.uuid4().hex}")
+    return op3.training_order(documents(spark, sf_dir), f"{scratch(spark)}/op3-{uuid.uuid4().hex}", public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 def op4_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
