@@ -433,7 +433,7 @@ def test_repeat_edges(odd, empty, no_ids):
 
 def test_media_payloads(odd, odd_rows, empty):
     got = op9.text_media(odd).collect()
-    assert multiset(r[:5] for r in got) == multiset((r[0], *brute.payload(r[1])) for r in odd_rows)
+    assert multiset(r[:8] for r in got) == multiset((r[0], *brute.payload(r[1]), *brute.media(r[1])) for r in odd_rows)
     assert len({(r.payload_sha256, r.media_sha256, r.feature) for r in got}) == len({r.payload_sha256 for r in got})
     assert op9.text_media(empty).count() == 0
 
@@ -448,7 +448,7 @@ def test_query_makes_every_tile(odd, odd_rows, tmp_path):
         image = np.frombuffer(op9.text_payload((r[1] or "").encode()), np.uint8).reshape(-1, 64)
         want[r[0], hashlib.sha256(op9.npy_tile(image)).hexdigest()] += 1
     assert Counter((r.doc_id, r.tile_sha256) for r in got) == want
-    held = op9.text_media(odd, with_media=True).collect()
+    held = op9.measure_media(op9.store_media(odd)).collect()
     assert all(hashlib.sha256(r.tile).hexdigest() == r.tile_sha256 and np.load(__import__("io").BytesIO(r.tile)).shape == (32, 32) for r in held)
 
 
@@ -492,10 +492,19 @@ def test_shards(odd, odd_rows, empty, no_ids):
         assert r.law == "key" and 0 <= r.shard < 16 and r.grown_shard in (r.shard, 16)
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
     assert multiset((r.doc_id, r["size"], r.text_crc32) for r in rows) == multiset((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in odd_rows)
+    assert multiset(rows) == multiset(brute.shards([(r[0], r[1]) for r in odd_rows])) == multiset(op10.shard_rows(odd.repartition(7)).collect())
     assert len({(r.doc_id, r.shard) for r in rows}) == len({r.doc_id for r in rows})
     assert op10.shard_rows(empty).count() == 0 and len({r.shard for r in op10.shard_rows(no_ids).collect()}) == 1
 
 
+def test_many_equal_rows_are_numbered(spark, monkeypatch):
+    monkeypatch.setattr(op10, "SUB_ROWS", 40)
+    monkeypatch.setattr(op10, "RUN", 7)
+    rows = [(None, "same")] * 500 + [(i, f"t{i % 9}") for i in range(900)] + [(4, "t4")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert multiset(op10.shard_rows(docs).collect()) == multiset(brute.shards(rows, sub_rows=40))
+
+
 def test_rendezvous_weights(spark):
     df = spark.range(40_000).select(op10.rendezvous(__import__("pyspark").sql.functions.col("id"), [1, 2, 3]).alias("s")).groupBy("s").count().collect()
     share = {r.s: r["count"] / 40_000 for r in df}

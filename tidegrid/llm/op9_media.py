@@ -6,12 +6,16 @@ integral image (summed-area table), with fractional borders.  ``dhash``
 compares neighbours of a 9 x 8 resize.  Tiles are written as NPY.
 
 For text columns, ``text_media`` stores the padded UTF-8 bytes losslessly as
-an 8-bit PGM of 64 samples a row, reads the stored bytes back and computes its
-features from what was read.
+an 8-bit PGM of 64 samples a row in a written table, reads that table back,
+computes its features from what was read, and writes the tiles.
 
 Defined results: a null text counts as empty; an empty text is stored as one
-row of zeros; equal texts give equal values; a damaged image raises
-``ValueError`` in ``decode`` and gives null features in ``media_features``.
+row of zeros; a very long text is one image, of which a task holds a few
+copies and no table of sums; equal texts, and so repeated rows, give equal
+values; neighbours that tie give bit 0; an empty table gives an empty result;
+columns other than the named ones are ignored, so clashing names do no harm.
+A damaged image raises ``ValueError`` in ``decode`` and gives null features in
+``media_features``.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.runtime import session
+from tidegrid.llm.runtime import session, staged
 
 WIDTH = 64
 
@@ -137,6 +141,17 @@ def encode_bmp(samples: np.ndarray) -> bytes:
 # --- features -------------------------------------------------------------
 
 
+def _integral_rows(image: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The integral image's rows at fractional places, each the sum of all rows above: band by band, so no table of the whole image is held."""
+    low = np.minimum(places.astype(np.int64), len(image))
+    total, out, at = np.zeros(image.shape[1:], np.int64), np.empty((len(places), *image.shape[1:])), 0
+    for k, (row, part) in enumerate(zip(low.tolist(), (places - low).tolist(), strict=True)):
+        total += image[at:row].sum(0, dtype=np.int64)
+        at = row
+        out[k] = total + part * image[min(row, len(image) - 1)]
+    return out
+
+
 def _cumulative_at(table: np.ndarray, places: np.ndarray) -> np.ndarray:
     """The summed table along its first axis at fractional places."""
     low = np.minimum(places.astype(np.int64), len(table) - 1)
@@ -146,12 +161,11 @@ def _cumulative_at(table: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Mean of each target cell's source area, through an integral image."""
+    """Mean of each target cell's source area, through an integral image at the cells' corners."""
     h, w = image.shape[:2]
-    table = np.zeros((h + 1, w + 1, *image.shape[2:]), np.float64)
-    table[1:, 1:] = image.cumsum(0, dtype=np.int64).cumsum(1)
-    rows = _cumulative_at(table, np.linspace(0, h, height + 1))
-    cells = _cumulative_at(np.swapaxes(rows, 0, 1), np.linspace(0, w, width + 1))
+    rows = np.swapaxes(_integral_rows(image, np.linspace(0, h, height + 1)), 0, 1)
+    table = np.concatenate([np.zeros((1, *rows.shape[1:])), rows.cumsum(0)])
+    cells = _cumulative_at(table, np.linspace(0, w, width + 1))
     return np.diff(np.diff(np.swapaxes(cells, 0, 1), axis=0), axis=1) / (h * w / height / width)
 
 
@@ -205,30 +219,42 @@ def store_text(text: bytes) -> bytes:
     return encode_pgm(payload.reshape(-1, WIDTH))
 
 
-def text_media(docs: DataFrame, *, with_media: bool = False, tile: int = 32) -> DataFrame:
-    """Store every text as an image, read it back, and digest what was read and the tile's NPY file; with ``with_media`` also the stored bytes and the tile."""
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile_sha256 string"
-    names = [x.split()[0] for x in schema.split(", ")] + ["media", "tile"] * with_media
-    if with_media:
-        schema += ", media binary, tile binary"
+STORED = "doc_id long, n_bytes long, media binary"
+MEASURED = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile_sha256 string, tile binary"
+
+
+def store_media(docs: DataFrame) -> DataFrame:
+    """Every text's media, as a written table (doc_id, n_bytes, media)."""
+
+    def run(batches):
+        for batch in batches:
+            raw = [(text or "").encode() for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array([store_text(x) for x in raw], pa.binary())], names=["doc_id", "n_bytes", "media"])
+
+    session(docs.sparkSession)
+    return staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, STORED), "op9-media")
+
+
+def measure_media(media: DataFrame, tile: int = 32) -> DataFrame:
+    """Stored media (doc_id, n_bytes, media) decoded: digests of what was read, difference hash, and the tile as an NPY file; a written table."""
 
     def run(batches):
         for batch in batches:
             rows = []
-            for text in batch.column(1).to_pylist():
-                raw = (text or "").encode()
-                media = store_text(raw)
-                image = decode(media)
+            for data in batch.column(2).to_pylist():
+                image = decode(data)
                 payload = image.tobytes()
                 small = npy_tile(image, tile, tile)
-                row = (
-                    len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]),
-                    len(media), hashlib.sha256(media).hexdigest(), dhash(image), hashlib.sha256(small).hexdigest(),
-                )
-                rows.append((*row, media, small) if with_media else row)
-            types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.binary())
-            cols = list(zip(*rows, strict=True)) if rows else [()] * (len(names) - 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, types, strict=False)]], names=names)
+                rows.append((
+                    len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), dhash(image), hashlib.sha256(small).hexdigest(), small,
+                ))
+            types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary())
+            cols = list(zip(*rows, strict=True)) if rows else [()] * len(types)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], names=[x.split()[0] for x in MEASURED.split(", ")])
 
-    session(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return staged(media.mapInArrow(run, MEASURED), "op9-tiles")
+
+
+def text_media(docs: DataFrame, *, tile: int = 32) -> DataFrame:
+    """Store every text as an image in a written table, read that back, write the tiles, and return the digests of what was read."""
+    return measure_media(store_media(docs), tile).drop("tile")
