@@ -349,6 +349,14 @@ def test_mix_targets_and_amounts(spark):
     assert sum(a.taken != b.taken for a, b in zip(sorted(rows), sorted(again))) == 0
 
 
+def test_mix_against_plain(spark):
+    from test_pipeline import mixed
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = Counter(r["doc_id"] for r in mixed([r.asDict() for r in docs.collect()]))
+    assert {r.doc_id: r.copies for r in op7.mix(docs).collect() if r.copies} == dict(want)
+
+
 @pytest.mark.parametrize("short", [(10,), (10, 1)])
 def test_mix_passes_over_a_long_document(spark, short):
     """One text with 30% of a source's words leaves no gap that a shorter one would fill, wherever it stands in the order."""
