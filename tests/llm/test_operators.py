@@ -526,13 +526,20 @@ def test_bloom(spark):
     assert hit[::2].all() and hit[1::2].mean() < 0.05
 
 
-def test_scratch_is_discarded(spark):
+def test_scratch_is_discarded(spark, tmp_path):
+    import os
+
     from tidegrid.llm import runtime
 
-    table = runtime.staged(spark.range(7), "demo")
-    assert table.count() == 7 and runtime.scratch(spark) in table.inputFiles()[0]
-    spark2 = spark.newSession()
-    assert runtime.scratch(spark2) == runtime.scratch(spark)
+    with runtime.passing(spark):
+        first = runtime.staged(spark.range(3), "first")
+        table = runtime.staged(spark.range(7), "demo")
+    where = [df.inputFiles()[0].removeprefix("file://") for df in (first, table)]
+    assert table.count() == 7 and all(runtime.scratch(spark).removeprefix("file://") in w for w in where)
+    assert not os.path.exists(where[0]) and os.path.exists(where[1])
+    assert runtime.scratch(spark.newSession()) == runtime.scratch(spark)
+    runtime.discard(spark)
+    assert not os.path.exists(runtime.scratch(spark).removeprefix("file://"))
 
 
 # pipeline ------------------------------------------------------------------------------

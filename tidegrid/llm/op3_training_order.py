@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm import kernels as K
 from tidegrid.llm import op6_bpe
-from tidegrid.llm.runtime import session, staged
+from tidegrid.llm.runtime import passing, session, staged
 
 LENGTH = 512
 PER_SHARD = 16_384
@@ -99,7 +99,8 @@ def training_order(
     """Write the shards and the manifest under the URI ``out``; one row per sequence: where it is and what it holds."""
     spark = session(docs.sparkSession)
     kind = "<u2" if op6_bpe.encoder(rank_file, pattern).n_vocab <= 1 << 16 else "<u4"
-    rows = numbered(op6_bpe.token_ids(docs, rank_file, pattern, checked=False), length, kind)
+    with passing(spark):
+        rows = numbered(op6_bpe.token_ids(docs, rank_file, pattern, checked=False), length, kind)
     # One narrow row a part; parts are the input's partitions, in the order of their numbers.
     totals = rows.groupBy("part").agg(F.sum("sequences").alias("total"))
     before = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

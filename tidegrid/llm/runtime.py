@@ -6,6 +6,8 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,10 +73,30 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    for held in _PASSING:
+        held.append(path)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_PASSING: list[list[str]] = []
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, all but the last, which must not read the others."""
+    held: list[str] = []
+    _PASSING.append(held)
+    try:
+        yield
+    finally:
+        _PASSING.remove(held)
+        for name in held[:-1]:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        release(spark)
+
+
 def skewed_join(left: DataFrame, right: DataFrame, on: list[str], weight: str, most: int = 10_000) -> DataFrame:
     """Inner join of ``left`` with ``right``, whose keys are unique and whose ``weight`` tells a key's rows in ``left``.
 
