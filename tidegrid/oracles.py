@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidegrid import replay_oracles
 from tidegrid.queries import FAST, SLOW
 
 # The hourly grid of event types.
@@ -282,4 +283,4 @@ def oracle_sql() -> dict[str, str]:
             SELECT sha256(concat_ws('|', 'demo', event_type, selection_segment_id, first_endpoint, run_ordinal)) AS run_id, run_ordinal, event_type, selection_segment_id, first_endpoint, last_endpoint, match_count, (last_endpoint - first_endpoint) // 3600 AS elapsed_steps,
               preceding_reason, closure_reason, preceding_reason = 'selection_boundary' AS left_censored, closure_reason = 'selection_boundary' AS right_censored FROM e""",
     }
-    return sql
+    return sql | replay_oracles.oracle_sql()

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidegrid import replay_queries
 from tidegrid.functions import bins as B
 from tidegrid.functions import masks as M
 from tidegrid.functions.numbers import exact_shares, return_bps, sorted_quantile
@@ -501,4 +502,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ew_rates, ew_rms_participation, age_p90, current_ages, asof_prevailing, interval_integral, screen_two_bars, screen_denominators, exact_ecdf, ecdf_quantiles, joint_histogram, joint_coverage,
         expanded_joint, binned_ecdf, activity_ecdf, panel_summary, active_hours, daily_members, view_crossings, dimension_totals, feature_catalog, quantile_grid, dollar_profile, running_shares, stratified_sample, validation_report, grid_check, order_violations, key_alignment, exact_share_parse, multi_join_star,
     )
-    return {f.__name__: f for f in own} | {"strict_runs": strict_runs_query}
+    return {f.__name__: f for f in own} | {"strict_runs": strict_runs_query} | replay_queries.queries()
