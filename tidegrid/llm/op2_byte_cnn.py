@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.llm import kernels as K
@@ -195,13 +195,14 @@ def labelled_sample(labelled: DataFrame, *, sample_per_class: int = 300, sample_
     # The table of classes is as long as the network's last layer, which every task gets anyway.
     share = F.least(F.lit(1.0), F.lit(2.0 * most + 60) / F.col("count"))
     excerpt = F.col("text").substr((F.pmod(F.xxhash64(F.lit("place"), "text"), F.greatest(F.lit(1), F.length("text") - sample_chars + 1)) + 1).cast("int"), F.lit(sample_chars))
-    thin = (
-        labelled.withColumn("draw", draw).join(F.broadcast(counts), "label").where((F.col("draw") < share * float(1 << 53)) | (F.col("draw") == F.col("least")))
-        .select("label", "draw", excerpt.alias("text")).groupBy("label", "draw").agg(F.min("text").alias("text"))
-    )
-    ranked = thin.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("draw"))).where(F.col("rank") <= most)
-    rows = sorted((r["label"], r["rank"], r["text"]) for r in ranked.select("label", "rank", "text").collect())
-    return [r[2] for r in rows], [r[0] for r in rows]
+    thin = labelled.withColumn("draw", draw).join(F.broadcast(counts), "label").where((F.col("draw") < share * float(1 << 53)) | (F.col("draw") == F.col("least")))
+    # Repeated rows are one here; the limit is far above what the thresholds let pass, and keeps the least draws.
+    found = thin.select("label", "draw", excerpt.alias("text")).distinct().orderBy("draw").limit(classes * (4 * most + 500)).collect()
+    taken: dict[str, list[tuple[int, str]]] = {}
+    for r in found:
+        taken.setdefault(r["label"], []).append((r["draw"], r["text"]))
+    rows = [(label, text) for label in sorted(taken) for _, text in sorted(taken[label])[:most]]
+    return [text for _, text in rows], [label for label, _ in rows]
 
 
 def identify_language(docs: DataFrame, net: ByteCNN) -> DataFrame:
