@@ -76,12 +76,12 @@ def test_sql_over_views(spark, stored):
     r = e.sql("SELECT count(*) AS n FROM features")
     assert r.df().n[0] == SECONDS
     assert e.sql("SELECT count(*) AS n FROM features JOIN current_ages USING (session_date, symbol, interval_end_ns) WHERE trade_age_seconds >= 0 AND trade_rate_per_second_hl5s > ?", [1]).df().n[0] > 0
-    assert {x["name"] for x in e.sql("SELECT * FROM feature_catalog").preview()[0]} == {f["name"] for f in e.fields} and len(e.fields) == 27
+    assert {x["name"] for x in e.sql("SELECT * FROM feature_catalog").preview().rows} == {f["name"] for f in e.fields} and len(e.fields) == 27
     text = e.sql("SELECT trade_rate_per_second_hl5s FROM features WHERE session = 'premarket'").frame._jdf.queryExecution().toString()
     plan = text.split("== Physical Plan ==")[1]
     assert plan.count("FileScan") == 1 and "age_seconds" not in plan.split("ReadSchema")[1]
     assert sum(b.num_rows for b in e.sql("SELECT * FROM features").arrow_batches(100)) == SECONDS
-    assert e.sql("SELECT * FROM features").preview(5)[1] is True
+    assert e.sql("SELECT * FROM features").preview(5).truncated is True
     with pytest.raises(ValueError):
         e.sql("SELECT * FROM features").df(max_rows=10)
 

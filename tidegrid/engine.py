@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 import pyarrow as pa
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid import schema as S
-from tidegrid.config import FeatureConfig, View, digest
+from tidegrid.config import ContractError, FeatureConfig, View, digest
 from tidegrid.grid import Grid, endpoint_time, local_seconds, session_name
 from tidegrid.operators import accounting as A
 from tidegrid.operators.features import AGES, feature_catalog
@@ -34,14 +34,17 @@ class Result:
     def __init__(self, frame: DataFrame, text: str, scope: Mapping):
         self.frame, self.text, self.scope = frame, text, scope
 
-    def arrow_batches(self, rows: int = 25_000) -> Iterator[pa.RecordBatch]:
+    def arrow_batches(self, rows: int = 25_000) -> pa.RecordBatchReader:
+        """Batches of 1 to 25,000 rows, read as a stream."""
+        if isinstance(rows, bool) or not isinstance(rows, int) or not 1 <= rows <= 25_000:
+            raise ContractError("a batch has 1 to 25,000 rows")
         return sinks.arrow_batches(self.frame, rows)
 
     def df(self, max_rows: int = 10_000):
         return sinks.bounded(self.frame, max_rows)
 
-    def preview(self, rows: int = 100) -> tuple[list[dict], bool]:
-        return sinks.preview(self.frame, min(rows, 100))
+    def preview(self, rows: int = 100) -> sinks.Preview:
+        return sinks.preview(self.frame, rows)
 
     def export_parquet(self, target: str) -> dict:
         return sinks.export_parquet(self.frame, target, query=self.text, scope=self.scope)

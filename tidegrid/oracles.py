@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegrid import replay_oracles
+from tidegrid import engine_oracles, replay_oracles
 from tidegrid.queries import FAST, SLOW
 
 # The hourly grid of event types.
@@ -193,8 +193,8 @@ def oracle_sql() -> dict[str, str]:
         "gap_periods": one + "SELECT * REPLACE (round(occupancy, 6) AS occupancy) FROM per",
         "period_summary": one + "SELECT event_type, count(*) AS periods, CAST(sum(elapsed_steps) AS BIGINT) AS covered_steps, CAST(sum(matching_steps) AS BIGINT) AS matching_steps, round(avg(elapsed_steps), 6) AS mean_steps, round(median(elapsed_steps), 6) AS median_steps, round(sum(matching_steps) / sum(elapsed_steps), 6) AS weighted_occupancy FROM per GROUP BY 1",
         "period_variants": f"WITH {VARIANTS} SELECT event_type, session, variant, episode_id, episode_start, episode_end, elapsed_steps, matching_steps, longest_gap_steps FROM per",
-        "best_window": g + """, r AS (SELECT event_type, session, end_s AS window_end, min(end_s) OVER w AS f, count(*) OVER w AS represented_steps, count(*) OVER w AS eligible_steps, CAST(sum(matching::INT) OVER w AS BIGINT) AS matching_steps FROM g WINDOW w AS (PARTITION BY event_type, session ORDER BY end_s ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)),
-            k AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY matching_steps DESC, window_end, session) AS rn FROM r WHERE represented_steps = 6 AND window_end - f = 18000 AND matching_steps * 2 >= 6)
+        "best_window": g + """, r AS (SELECT event_type, session, end_s AS window_end, min(end_s) OVER w AS f, count(*) OVER w AS represented_steps, CAST(sum(eligible::INT) OVER w AS BIGINT) AS eligible_steps, CAST(sum(matching::INT) OVER w AS BIGINT) AS matching_steps FROM g WINDOW w AS (PARTITION BY event_type, session ORDER BY end_s ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)),
+            k AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY matching_steps DESC, window_end, session) AS rn FROM r WHERE represented_steps = 6 AND eligible_steps = 6 AND window_end - f = 18000 AND matching_steps * 2 >= 6)
             SELECT event_type, session, window_end - 21600 AS window_start, window_end, represented_steps, eligible_steps, matching_steps, round(matching_steps / represented_steps, 6) AS occupancy FROM k WHERE rn = 1""",
         "directional_stretches": st + _stretch("fast_match AND NOT slow_match", "slow_pass_rate", "sx") + "SELECT event_type, session, stretch_start, stretch_end, steps, failed_rate_steps AS failed_rate FROM sx",
         "top_stretches": st + _stretch("fast_match AND NOT slow_match", "slow_pass_rate", "sx") + _stretch("slow_match AND NOT fast_match", "fast_pass_rate", "sy")
@@ -283,4 +283,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT sha256(concat_ws('|', 'demo', event_type, selection_segment_id, first_endpoint, run_ordinal)) AS run_id, run_ordinal, event_type, selection_segment_id, first_endpoint, last_endpoint, match_count, (last_endpoint - first_endpoint) // 3600 AS elapsed_steps,
               preceding_reason, closure_reason, preceding_reason = 'selection_boundary' AS left_censored, closure_reason = 'selection_boundary' AS right_censored FROM e""",
     }
-    return sql | replay_oracles.oracle_sql()
+    sql["dense_histogram"] = f"""WITH h AS ({sql["joint_histogram"]}) SELECT p.l_linestatus, CAST(x AS INTEGER) AS x_bin, CAST(y AS INTEGER) AS y_bin, CAST(coalesce(n, 0) AS BIGINT) AS n
+      FROM (SELECT DISTINCT l_linestatus FROM h) p CROSS JOIN range(6) a(x) CROSS JOIN range(5) b(y) LEFT JOIN h ON h.l_linestatus = p.l_linestatus AND h.x_bin = x AND h.y_bin = y"""
+    sql["ecdf_curve"] = f"""WITH b AS ({sql["binned_ecdf"]}) SELECT session, bin, n, share, round(least(exp(bin * 0.25) - 1, 60.0), 6) AS x FROM b WHERE metric = 'mean'"""
+    return sql | replay_oracles.oracle_sql() | engine_oracles.oracle_sql()

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegrid import replay_queries
+from tidegrid import engine_queries, replay_queries
 from tidegrid.functions import bins as B
 from tidegrid.functions import masks as M
 from tidegrid.functions.numbers import exact_shares, return_bps, sorted_quantile
@@ -190,8 +190,7 @@ def period_variants(spark, sf):
 
 
 def best_window(spark, sf):
-    df = hourly(spark, sf).withColumn("eligible", F.lit(True))
-    return P.best_window(df, GRID, steps=6, occupancy=0.5).withColumns(rounded("occupancy"))
+    return P.best_window(hourly(spark, sf), GRID, steps=6, occupancy=0.5).withColumns(rounded("occupancy"))
 
 
 def directional_stretches(spark, sf):
@@ -379,6 +378,11 @@ def joint_histogram(spark, sf):
     return D.joint_histogram(df, ["l_returnflag"], "l_quantity", "l_discount", _X, _Y, ["l_linestatus"]).withColumns(rounded("equal_probability"))
 
 
+def dense_histogram(spark, sf):
+    """The joint histogram of every panel with its empty bins."""
+    return D.dense_bins(joint_histogram(spark, sf).select("l_linestatus", "x_bin", "y_bin", "n"), ["l_linestatus"], 6, 5)
+
+
 def joint_coverage(spark, sf):
     df = hourly(spark, sf).withColumn("mean", F.when(F.col("n") > 2, F.col("dollars") / F.col("n")))
     return D.joint_coverage(df, "price", "mean", F.col("price") < 50, F.col("mean") < 40, KEYS)
@@ -396,6 +400,13 @@ def binned_ecdf(spark, sf):
     return D.binned_ecdf(df, {"dollars": B.linear_bin(F.col("dollars") + 0.00123, 5.0), "mean": B.log1p_bin(F.col("mean"), 0.25)}, ["session"], F.col("n") > 0).withColumns(rounded("share"))
 
 
+def ecdf_curve(spark, sf):
+    """The points of a binned distribution's curve, closed at the largest value."""
+    df = hourly(spark, sf).withColumn("mean", F.when(F.col("n") > 0, F.col("dollars") / F.col("n")))
+    got = D.curve(D.binned_ecdf(df, {"mean": B.log1p_bin(F.col("mean"), 0.25)}, ["session"], F.col("n") > 0), 0.25, F.lit(60.0))
+    return got.select("session", "bin", "n", F.round("share", 6).alias("share"), F.round("x", 6).alias("x"))
+
+
 def activity_ecdf(spark, sf):
     df = hourly(spark, sf)
     x = F.when(F.col("n") > 0, F.col("dollars"))
@@ -499,7 +510,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         endpoint_screen, prepared_sql, three_state_predicates, activity_bands, gate_accounting, member_accounting, contributions, reason_tallies, concentration, daily_population,
         selection_segments, window_slice, gap_periods, period_summary, period_variants, best_window, directional_stretches, top_stretches, inside_period_semi, period_overlap,
         interval_union, dollar_periods, period_reproduction, availability_scopes, overlap_by_scope, disagreements, filter_contribution, membership, membership_change, threshold_crossings, set_algebra,
-        ew_rates, ew_rms_participation, age_p90, current_ages, asof_prevailing, interval_integral, screen_two_bars, screen_denominators, exact_ecdf, ecdf_quantiles, joint_histogram, joint_coverage,
-        expanded_joint, binned_ecdf, activity_ecdf, panel_summary, active_hours, daily_members, view_crossings, dimension_totals, feature_catalog, quantile_grid, dollar_profile, running_shares, stratified_sample, validation_report, grid_check, order_violations, key_alignment, exact_share_parse, multi_join_star,
+        ew_rates, ew_rms_participation, age_p90, current_ages, asof_prevailing, interval_integral, screen_two_bars, screen_denominators, exact_ecdf, ecdf_quantiles, joint_histogram, dense_histogram, joint_coverage,
+        expanded_joint, binned_ecdf, ecdf_curve, activity_ecdf, panel_summary, active_hours, daily_members, view_crossings, dimension_totals, feature_catalog, quantile_grid, dollar_profile, running_shares, stratified_sample, validation_report, grid_check, order_violations, key_alignment, exact_share_parse, multi_join_star,
     )
-    return {f.__name__: f for f in own} | {"strict_runs": strict_runs_query} | replay_queries.queries()
+    return {f.__name__: f for f in own} | {"strict_runs": strict_runs_query} | replay_queries.queries() | engine_queries.queries()

@@ -390,7 +390,9 @@ u0 AS (
   SELECT rp.*, CASE WHEN price_end_reason_mask <> 0 THEN 'unavailable' WHEN bid_end_usd >= 101 THEN 'matching' ELSE 'nonmatching' END AS status, CASE WHEN second % 211 = 0 THEN 'explicit_before' END AS bef,
          CASE WHEN second % 223 = 0 THEN 'explicit_after' END AS aft
   FROM rp JOIN rg USING (symbol) WHERE second BETWEEN first_second AND last_second
-),
+)
+"""
+RUN_TAIL = """,
 u1 AS (
   SELECT *, NOT halt_active AND status = 'matching' AS m, CASE WHEN halt_active THEN 'halt' WHEN status <> 'matching' THEN status END AS own,
     lag(second) OVER p IS NOT NULL AND (quote_continuity_break_in_second OR trade_continuity_break_in_second OR lag(quote_continuity_id) OVER p <> quote_continuity_id OR lag(trade_continuity_id) OVER p <> trade_continuity_id) AS cut,
@@ -467,7 +469,7 @@ def oracle_sql() -> dict[str, str]:
         "selection_ranges": f"WITH {EVENTS}{RANGES} SELECT symbol, 0 AS segment_index, 'premarket' AS session, CAST(first_second AS BIGINT) AS first_second, CAST(last_second AS BIGINT) AS last_second FROM rg",
         "selection_annotated": w + f"""{RANGES.replace(', rg', ', rg', 1)} SELECT symbol, second, true AS selected, '2026-09-02/' || symbol || ':0' AS selection_segment_id, second = first_second AS selection_segment_start, second = last_second AS selection_segment_end
           FROM rp JOIN rg USING (symbol) WHERE second BETWEEN first_second AND last_second""",
-        "strict_runs_sources": f"""WITH {RUNS} SELECT symbol, CAST(first_second AS BIGINT) AS first_second, CAST(last_second AS BIGINT) AS last_second, match_count, row_number() OVER (ORDER BY symbol, first_second) - 1 AS run_ordinal, pre AS preceding_reason,
+        "strict_runs_sources": f"""WITH {RUNS}{RUN_TAIL} SELECT symbol, CAST(first_second AS BIGINT) AS first_second, CAST(last_second AS BIGINT) AS last_second, match_count, row_number() OVER (ORDER BY symbol, first_second) - 1 AS run_ordinal, pre AS preceding_reason,
           post AS closure_reason, pre = 'selection_boundary' AS left_censored, post = 'selection_boundary' AS right_censored FROM u6""",
         "best_quoted_window": f"""WITH {BEST} SELECT symbol, session, CAST(second - 30 AS BIGINT) AS window_start, CAST(second AS BIGINT) AS window_end, CAST(n AS BIGINT) AS represented_steps, CAST(ne AS BIGINT) AS eligible_steps, CAST(nm AS BIGINT) AS matching_steps,
           round(nm / n, 6) AS occupancy FROM b2""",

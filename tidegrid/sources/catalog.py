@@ -7,10 +7,15 @@ import json
 from collections.abc import Mapping, Sequence
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid import schema as S
 from tidegrid.config import ContractError, FeatureConfig, canonical_json, digest
+from tidegrid.operators import validation as V
+from tidegrid.operators.features import feature_catalog
 from tidegrid.sources.sinks import read_text, write_text
 
 MEMBER_FIELDS = ("session_date", "symbol", "base", "features")
@@ -24,14 +29,51 @@ def contained(root: str, relative: str) -> str:
     return f"{root.rstrip('/')}/{p}"
 
 
+#: Bytes of a file that a task holds at once while it hashes it.
+HASH_BYTES = 8 << 20
+
+
 def file_hashes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, bytes, sha256) of files, hashed by the executors."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """(path, bytes, sha256) of files, read as streams and hashed by the executors; a file's size is not limited."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths)).select("path", F.col("length").alias("bytes"))
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for name in batch.column(0).to_pylist():
+                fs, path = pafs.FileSystem.from_uri(name if "://" in name else name.replace("file:/", "file:///", 1))
+                digest_ = hashlib.sha256()
+                with fs.open_input_stream(path) as stream:
+                    while part := stream.read(HASH_BYTES):
+                        digest_.update(part)
+                out.append(digest_.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["path", "bytes", "sha256"])
+
+    return files.mapInArrow(run, "path string, bytes long, sha256 string")
 
 
-def build_catalog(spark: SparkSession, root: str, members: Sequence[Mapping], config: FeatureConfig = FeatureConfig(), hashed: bool = True) -> dict:
-    """Write ``catalog.json`` below ``root``: members, configuration, file hashes and the catalog's identity."""
+def _relative(root: str) -> Column:
+    """A hashed file's path below the root."""
+    base = root.rstrip("/").removeprefix("file://").removeprefix("file:") + "/"
+    return F.substring_index(F.col("path"), base, -1)
+
+
+def changed_files(spark: SparkSession, root: str, catalog: Mapping) -> DataFrame:
+    """(path) of files that are missing, new or different; only these leave the executors."""
+    paths = [contained(root, m[k]) for m in catalog["members"] for k in ("base", "features")]
+    listed = spark.createDataFrame([(k, int(v[0]), v[1]) for k, v in catalog["files"].items()], "path string, listed_bytes long, listed_sha256 string")
+    found = file_hashes(spark, sorted(set(paths))).withColumn("path", _relative(root))
+    same = F.col("bytes").eqNullSafe(F.col("listed_bytes")) & F.col("sha256").eqNullSafe(F.col("listed_sha256"))
+    return listed.join(found, "path", "full").where(~same).select("path")
+
+
+def build_catalog(spark: SparkSession, root: str, members: Sequence[Mapping], config: FeatureConfig = FeatureConfig(), hashed: bool = True, checked: bool = True) -> dict:
+    """Write ``catalog.json`` below ``root``: members, configuration, file hashes and the catalog's identity.
+
+    Unless told otherwise every queryable field of every member is scanned
+    first, and a value or mask that breaks its rules is an error.  The list of
+    files is part of the catalog, so it reaches the driver: one line a file.
+    """
     keys = [(m["session_date"], m["symbol"]) for m in members]
     if len(set(keys)) != len(keys):
         raise ContractError("a member is listed twice")
@@ -39,10 +81,12 @@ def build_catalog(spark: SparkSession, root: str, members: Sequence[Mapping], co
     for m in listed:
         if set(MEMBER_FIELDS) - set(m):
             raise ContractError("a member lacks fields")
+    if checked:
+        scan_fields(spark, root, listed, config)
     files = {}
     if hashed:
-        paths = [contained(root, m[k]) for m in listed for k in ("base", "features")]
-        files = {r["path"].split(root.rstrip("/").removeprefix("file://") + "/", 1)[-1]: [r["bytes"], r["sha256"]] for r in file_hashes(spark, paths).collect()}
+        paths = sorted({contained(root, m[k]) for m in listed for k in ("base", "features")})
+        files = {r["path"]: [r["bytes"], r["sha256"]] for r in file_hashes(spark, paths).withColumn("path", _relative(root)).collect()}
     body = {"version": 1, "config": config.to_dict(), "members": listed, "files": dict(sorted(files.items()))}
     catalog = body | {"identity": digest(body)}
     write_text(spark, f"{root.rstrip('/')}/catalog.json", canonical_json(catalog))
@@ -57,12 +101,20 @@ def read_catalog(spark: SparkSession, root: str) -> dict:
     return catalog
 
 
+def scan_fields(spark: SparkSession, root: str, members: Sequence[Mapping], config: FeatureConfig = FeatureConfig()) -> None:
+    """Hold all queryable fields against their rules, one pass over the features and one over the base."""
+    fields = feature_catalog(config)
+    for table, kind, schema in (("features", "features", S.features_schema(config)), ("base", "current_ages", S.BASE)):
+        names = [f["name"] for f in fields if f["table"] == kind]
+        rows = spark.read.schema(schema).parquet(*sorted({contained(root, m[table]) for m in members}))
+        V.require(rows, V.projected_rules(fields, names), f"{kind} of the catalog")
+
+
 def verify_files(spark: SparkSession, root: str, catalog: Mapping) -> None:
     """Hash every listed file again; any difference is an error."""
-    paths = [contained(root, m[k]) for m in catalog["members"] for k in ("base", "features")]
-    found = {r["path"].split(root.rstrip("/").removeprefix("file://") + "/", 1)[-1]: [r["bytes"], r["sha256"]] for r in file_hashes(spark, paths).collect()}
-    if found != catalog["files"]:
-        raise ContractError(f"files differ from the catalog: {sorted(set(found) ^ set(catalog['files'])) or sorted(k for k in found if found[k] != catalog['files'][k])}")
+    wrong = [r["path"] for r in changed_files(spark, root, catalog).limit(10).collect()]
+    if wrong:
+        raise ContractError(f"files differ from the catalog: {sorted(wrong)}")
 
 
 def sha256_text(text: str) -> str:

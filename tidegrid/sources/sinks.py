@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidegrid.config import digest
+from tidegrid.config import ContractError, digest
 
 
 def _fs(spark: SparkSession, path: str):
@@ -80,19 +82,30 @@ def write_pair(df: DataFrame, target: str) -> None:
     df.write.mode("errorifexists").option("header", True).csv(f"{target}/csv")
 
 
-def arrow_batches(df: DataFrame, rows: int = 25_000) -> Iterator[pa.RecordBatch]:
-    """Record batches of at most ``rows`` rows, one partition at a time on the driver."""
-    schema = None
-    held: list = []
-    for row in df.toLocalIterator(prefetchPartitions=False):
-        held.append(row.asDict(recursive=True))
-        if len(held) == rows:
-            batch = pa.RecordBatch.from_pylist(held, schema=schema)
-            schema = schema or batch.schema
-            yield batch
-            held = []
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema=schema)
+def arrow_batches(df: DataFrame, rows: int = 25_000) -> pa.RecordBatchReader:
+    """A reader of record batches of at most ``rows`` rows with the frame's own schema, one partition at a time on the driver.
+
+    Batches are made by the executors from Spark's Arrow data and travel as
+    Arrow streams, so no row becomes a Python object.  An empty result has the
+    schema and no batch.
+    """
+    schema = to_arrow_schema(df.schema)
+
+    def pack(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, batch.schema) as stream:
+                    stream.write_batch(batch.slice(at, rows))
+                yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["batch"])
+
+    def batches() -> Iterator[pa.RecordBatch]:
+        for row in df.mapInArrow(pack, "batch binary").toLocalIterator(prefetchPartitions=False):
+            with pa.ipc.open_stream(row["batch"]) as stream:
+                for batch in stream:
+                    yield batch.rename_columns(schema.names).cast(schema)
+
+    return pa.RecordBatchReader.from_batches(schema, batches())
 
 
 def bounded(df: DataFrame, most: int = 10_000):
@@ -103,7 +116,18 @@ def bounded(df: DataFrame, most: int = 10_000):
     return got
 
 
-def preview(df: DataFrame, rows: int = 100) -> tuple[list[dict], bool]:
-    """The first rows, and whether there are more."""
+@dataclass(frozen=True)
+class Preview:
+    """The first rows of a result, its columns, and whether there are more rows."""
+
+    columns: list[str]
+    rows: list[dict]
+    truncated: bool
+
+
+def preview(df: DataFrame, rows: int = 100) -> Preview:
+    """At most 100 rows; another number of rows is an error."""
+    if isinstance(rows, bool) or not isinstance(rows, int) or not 1 <= rows <= 100:
+        raise ContractError("a preview has 1 to 100 rows")
     got = [r.asDict() for r in df.limit(rows + 1).collect()]
-    return got[:rows], len(got) > rows
+    return Preview(df.columns, got[:rows], len(got) > rows)
