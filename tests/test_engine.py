@@ -167,6 +167,67 @@ def test_command_line(capsys):
         cli.main(["nothing"])
 
 
+def test_results_keep_the_schema(spark, stored):
+    """A column that is null in the first batch and set later, and an empty result."""
+    e = Engine(spark, stored, verify=False)
+    reader = e.sql("SELECT id, CASE WHEN id >= 500 THEN id * 1.5D END AS late, timestamp_seconds(id) AS t FROM range(0, 1000, 1, 4)").arrow_batches(50)
+    assert [str(f.type) for f in reader.schema] == ["int64", "double", "timestamp[us, tz=UTC]"]
+    batches = list(reader)
+    assert all(b.schema == reader.schema and b.num_rows <= 50 for b in batches) and sum(b.num_rows for b in batches) == 1000
+    assert sum(b.column("late").null_count for b in batches) == 500
+    none = e.sql("SELECT symbol, interval_end_ns FROM features WHERE false").arrow_batches()
+    assert none.schema.names == ["symbol", "interval_end_ns"] and list(none) == []
+    shown = e.sql("SELECT id FROM range(7)").preview(7)
+    assert shown.columns == ["id"] and len(shown.rows) == 7 and not shown.truncated
+    for wrong in (0, 101, True, 2.0):
+        with pytest.raises(ContractError):
+            e.sql("SELECT 1").preview(wrong)
+    with pytest.raises(ContractError):
+        e.sql("SELECT 1").arrow_batches(25_001)
+
+
+def test_catalog_scans_its_fields(spark, stored, tmp_path):
+    root = f"file://{tmp_path}/root"
+    for table, schema in (("base", Sch.BASE), ("features", Sch.features_schema(CONFIG))):
+        df = spark.read.schema(schema).parquet(f"{stored}/session_date={DAYS[0]}/{table}")
+        if table == "features":
+            df = df.withColumn("trade_rate_per_second_hl5s", F.lit(-1.0))
+        df.write.parquet(f"{root}/{table}")
+    members = [{"session_date": DAYS[0], "symbol": "ABC", "base": "base", "features": "features"}]
+    with pytest.raises(ContractError, match="trade_rate_per_second_hl5s"):
+        Cat.build_catalog(spark, root, members, CONFIG)
+    assert Cat.build_catalog(spark, root, members, CONFIG, checked=False)["files"]
+
+
+def test_pairs_are_published_together(spark, tmp_path):
+    start = session_bounds("2026-06-01")[0]
+    row = lambda schema, at, seq: tuple({"sip_timestamp": at, "sequence_number": seq}.get(f.name) for f in schema.fields)
+    make = lambda schema, rows: spark.createDataFrame([row(schema, *r) for r in rows], schema)
+    good = {"trades": make(Sch.VENDOR_TRADES, [(start, 1), (start, 2)]), "quotes": make(Sch.VENDOR_QUOTES, [(start + 5, 1)])}
+    assert vendor.acquire_pair(spark, good, f"file://{tmp_path}/a", "ABC", "2026-06-01") == {"trades": 2, "quotes": 1}
+    assert spark.read.parquet(f"file://{tmp_path}/a/trades").count() == 2
+    for bad in ([], [(start - 1, 1)], [(start, 1), (start, 1)]):
+        with pytest.raises(ContractError):
+            vendor.acquire_pair(spark, good | {"quotes": make(Sch.VENDOR_QUOTES, bad)}, f"file://{tmp_path}/b", "ABC", "2026-06-01")
+    assert not (tmp_path / "b").exists()
+
+
+def test_command_groups(spark, stored, tmp_path, capsys):
+    """Commands over stored tables; the session is the tests' own."""
+    where = f"file://{tmp_path}"
+    day = f"{stored}/session_date={DAYS[0]}"
+    (tmp_path / "config.json").write_text(json.dumps(CONFIG.to_dict()))
+    config = ["--config", str(tmp_path / "config.json")]
+    assert cli.main(["base", "verify", f"{day}/base"]) == 0
+    assert cli.main(["features", "build", f"{day}/base", f"{where}/features", *config]) == 0
+    assert cli.main(["features", "verify", f"{where}/features", *config]) == 0
+    assert cli.main(["report", "members", stored, f"{where}/report"]) == 0
+    said = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert said[0]["broken"] == 0 and said[1] == {"rows": SECONDS} and said[2]["broken"] == 0 and said[3] == {"rows": len(DAYS)}
+    with pytest.raises(SystemExit):
+        cli.main(["calculate"])
+
+
 def test_receipts(spark, tmp_path):
     from tidegrid.sources.receipts import verify_receipt, write_receipt
 

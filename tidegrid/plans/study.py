@@ -174,11 +174,3 @@ class Study:
             part = gap_periods(evaluated, self.grid, eligible=valid, matching=match, more=self.more, **self.periods).withColumn("view", F.lit(view))
             out = part if out is None else out.unionByName(part)
         return out
-
-
-def inside_periods(evaluated: DataFrame, periods: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    return I.inside_intervals(evaluated, periods, keys, time)
-
-
-def views_of(mapping: Mapping[str, int]) -> tuple[tuple[str, int], ...]:
-    return tuple(mapping.items())

@@ -203,7 +203,7 @@ def top_stretches(spark, sf):
 
 
 def inside_period_semi(spark, sf):
-    inside = I.inside_intervals(hourly(spark, sf), _periods(spark, sf), KEYS, "end_s")
+    inside = I.inside_intervals(hourly(spark, sf), _periods(spark, sf), KEYS, "end_s", width=24 * HOUR)
     return inside.groupBy("event_type", "session").agg(F.count("*").alias("hours"), F.sum("n").alias("events"))
 
 
@@ -215,7 +215,7 @@ def period_overlap(spark, sf):
 
 def interval_union(spark, sf):
     ivals = events(spark, sf).select("event_type", F.col("us").alias("start"), (F.col("us") + (F.col("value") * 60_000_000).cast("long")).alias("stop"))
-    return I.union_intervals(ivals, KEYS)
+    return I.union_intervals(ivals, KEYS, width=6 * HOUR * 1_000_000)
 
 
 def dollar_periods(spark, sf):
@@ -307,7 +307,7 @@ def age_p90(spark, sf):
 def current_ages(spark, sf):
     """Seconds since the last event before each hour's end."""
     df = hourly(spark, sf).select("event_type", F.col("end_s").alias("end_s"), (F.col("end_s") * 1_000_000).alias("us"))
-    got = I.as_of(df, events(spark, sf).withColumn("seen_us", F.col("us")), KEYS, "us", ["seen_us", "event_id"], tie="event_id")
+    got = I.as_of(df, events(spark, sf).withColumn("seen_us", F.col("us")), KEYS, "us", ["seen_us", "event_id"], tie="event_id", width=6 * HOUR * 1_000_000)
     return got.select("event_type", F.call_function("div", F.col("us"), F.lit(1_000_000)).alias("end_s"), "event_id", F.round((F.col("us") - F.col("seen_us")) / 1_000_000, 6).alias("age_s"))
 
 
@@ -321,9 +321,9 @@ def asof_prevailing(spark, sf):
 def interval_integral(spark, sf):
     """Each event's value holds until the next one of its type: time integral and average per hour."""
     ev = events(spark, sf)
-    until = F.lead("us").over(Window.partitionBy("event_type").orderBy("us", "event_id"))
-    states = ev.select("event_type", "value", F.col("us").alias("a"), until.alias("b")).where("b > a")
     size = HOUR * 1_000_000
+    held = I.next_value(ev, ["event_type"], "us", "event_id", width=6 * size)
+    states = held.select("event_type", "value", F.col("us").alias("a"), F.col("until").alias("b")).where("b > a")
     hours = F.sequence(F.call_function("div", F.col("a"), F.lit(size)), F.call_function("div", F.col("b") - 1, F.lit(size)))
     pieces = states.withColumn("h", F.explode(hours)).withColumn("us", F.least(F.col("b"), (F.col("h") + 1) * size) - F.greatest(F.col("a"), F.col("h") * size))
     out = pieces.groupBy("event_type", ((F.col("h") + 1) * HOUR).alias("end_s")).agg(F.sum(F.col("value") * F.col("us") / 1_000_000).alias("integral"), F.sum("us").alias("valid_us"))

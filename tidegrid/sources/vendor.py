@@ -7,13 +7,18 @@ runs offline in tests.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegrid import schema as S
 from tidegrid.config import ContractError
+from tidegrid.grid import session_bounds
+from tidegrid.operators.validation import order_violations
+from tidegrid.sources.sinks import publish
 
 #: A client maps (url, parameters) to the response body's text.
 Client = Callable[[str, Mapping[str, str]], str]
@@ -76,3 +81,27 @@ def minute_bars(rows: DataFrame, symbol: str, start: int, end: int) -> DataFrame
         F.lit(symbol).alias("symbol"), F.when(outside, F.raise_error(F.lit("minute outside its session")).cast("bigint")).otherwise(at).alias("window_start"),
         *[F.col(k).alias(v) for k, v in names.items()], F.lit(start).alias("session_start"), F.lit(end).alias("session_end"),
     )
+
+
+def acquire_pair(spark: SparkSession, streams: Mapping[str, DataFrame], out: str, symbol: str, day: str) -> dict:
+    """Both streams of a member normalised, checked and published together below ``out``; the rows of each.
+
+    A stream without events, an event outside the session or a repeated
+    (time, sequence) is an error, and then nothing is published.
+    """
+    if set(streams) != {"trades", "quotes"}:
+        raise ContractError("a pair has trades and quotes")
+    start, end = session_bounds(day)
+    attempt, counts = f"{out.rstrip('/')}.attempt-{uuid.uuid4().hex}", {}
+    for name, schema in (("trades", S.VENDOR_TRADES), ("quotes", S.VENDOR_QUOTES)):
+        df = normalize_stream(streams[name], schema, day, symbol)
+        df.write.option("compression", "zstd").parquet(f"{attempt}/{name}")
+        stored = spark.read.schema(df.schema).parquet(f"{attempt}/{name}")
+        outside = ~F.coalesce((F.col("sip_timestamp") >= start) & (F.col("sip_timestamp") < end), F.lit(False))
+        rows, wrong = stored.agg(F.count("*"), F.count_if(outside)).first()
+        repeated = order_violations(stored, ["symbol"]).agg(F.sum(F.col("repeated_keys") + F.col("null_keys"))).first()[0]
+        if not rows or wrong or repeated:
+            raise ContractError(f"{name} of {day}/{symbol}: {rows} rows, {wrong} outside the session, {repeated or 0} repeated or null keys")
+        counts[name] = rows
+    publish(spark, attempt, out)
+    return counts
