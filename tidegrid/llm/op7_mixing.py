@@ -133,7 +133,7 @@ def mix(docs: DataFrame, *, source: str = "source", weights: Sequence[float] = (
                 "op7-cut",
             )
             used = max(used, k + 1)
-            if k + 1 < len(cells) and cut.where("members > 1").isEmpty():
+            if k >= 2 and cut.where("members > 1").isEmpty():
                 break
             left = _joined(left, cut.where("members > 1").select("mix_source", F.element_at("t", -1).alias("edge")), small).where(F.col(level) == F.col("edge")).drop("edge")
         fits = F.size("t") == 0
