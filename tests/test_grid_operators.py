@@ -271,3 +271,47 @@ def test_active_gate_edges(spark):
     df = spark.createDataFrame([(1.0, 2.0), (0.999, 2.0), (1.0, 2.001), (None, 1.0), (5.0, None)], "trade_rate_per_second_hl30s double, trade_age_p90_seconds_window60s double")
     valid, passing = active_gate()
     assert [(r.v, bool(r.v and r.p)) for r in df.select(valid.alias("v"), passing.alias("p")).collect()] == [(True, True), (True, False), (True, False), (False, False), (False, False)]
+
+
+def test_time_buckets_change_nothing(spark):
+    """As-of, unions, next rows and EXISTS give the same with and without buckets, and as plain loops do."""
+    import random
+    from collections import Counter
+
+    from tidegrid.operators import intervals as I
+
+    rng = random.Random(21)
+    keys = ["a", "b", None]
+    ev = [(rng.choice(keys), rng.randrange(-50, 1000), i) for i in range(300)]
+    pts = list({(rng.choice(keys), rng.randrange(-60, 1100)) for _ in range(200)})
+    iv = [(rng.choice(keys[:2]), s, s + rng.choice([0, 3, 40, 300])) for s in (rng.randrange(-50, 1000) for _ in range(60))]
+    events, points = spark.createDataFrame(ev, "k string, t long, v long"), spark.createDataFrame(pts, "k string, t long")
+    spans = spark.createDataFrame(iv, "k string, start long, stop long")
+    seen = lambda df: Counter(map(tuple, df.collect()))
+    for strict in (True, False):
+        want = Counter()
+        for k, t in pts:
+            before = [(x, v) for kk, x, v in ev if kk == k and (x < t if strict else x <= t)]
+            want[k, t, max(before)[1] if before else None] += 1
+        for width in (None, 7, 5000):
+            assert seen(I.as_of(points, events, ["k"], "t", ["v"], strict=strict, tie="v", width=width)) == want
+    later = Counter()
+    for k in keys:
+        own = sorted((t, v) for kk, t, v in ev if kk == k)
+        later.update((k, t, v, nxt) for (t, v), nxt in zip(own, [t for t, _ in own[1:]] + [None]))
+    union = Counter()
+    for k in keys[:2]:
+        open_ = None
+        for s, e in sorted((s, e) for kk, s, e in iv if kk == k):
+            if open_ and s <= open_[1]:
+                open_[1] = max(open_[1], e)
+            else:
+                if open_:
+                    union[k, *open_] += 1
+                open_ = [s, e]
+        union[k, *open_] += 1
+    inside = Counter((k, t) for k, t in pts if any(k == kk and s < t <= e for kk, s, e in iv))
+    for width in (None, 7, 5000):
+        assert seen(I.next_value(events, ["k"], "t", "v", width).select("k", "t", "v", "until")) == later
+        assert seen(I.union_intervals(spans, ["k"], width=width).select("k", "start", "stop")) == union
+        assert seen(I.inside_intervals(points, spans, ["k"], "t", "start", "stop", width=width)) == inside

@@ -36,6 +36,12 @@ def _with(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def union_intervals(df: DataFrame, keys: Sequence[str], start: str = "start", stop: str = "stop", width: int | None = None) -> DataFrame:
     """Merge overlapping and touching intervals of each key."""
+    if width is None:
+        order = Window.partitionBy(*keys).orderBy(start, stop)
+        reach = F.max(stop).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        opens = F.when(F.coalesce(F.col(start) > reach, F.lit(True)), F.col(start))
+        island = F.max("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
+        return df.withColumn("_opens", opens).withColumn("_island", island).groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(stop).alias(stop)).drop("_island")
     df = df.withColumn("_bucket", _bucket(F.col(start), width))
     part = [*keys, "_bucket"]
     order = Window.partitionBy(*part).orderBy(start, stop)
