@@ -8,7 +8,10 @@ and writes them as fixed-stride records, so slot s is record ``s % per_shard``
 of shard ``s // per_shard``, and a reader can seek to any slot and resume.
 
 The ids are written once with each row's place among the sequences of its
-part, so the numbers stay the same whatever is read again.  The shards are
+part, so the numbers stay the same whatever is read again.  The ranges are a
+written table too, one file a range; the ids and the shuffle go before the
+shards are written from them, so at most three copies of the ids stand at a
+time.  The shards are
 written when ``training_order`` is called, not when its result is read.  A
 shard is written under a temporary name by one task and renamed; an attempt
 that finds the shard there leaves it, since all attempts write the same bytes.
@@ -30,6 +33,7 @@ import posixpath
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -71,36 +75,28 @@ def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def numbered(tokens: DataFrame, length: int, kind: str) -> DataFrame:
-    """``tokens`` (doc_id, ids) as a written table (part, at, sequences, doc_id, ids): ``at`` is the row's first sequence in its part."""
+def numbered(docs: DataFrame, rank_file: str, pattern: str, length: int, kind: str) -> DataFrame:
+    """The ids of ``docs`` as a written table (part, at, sequences, doc_id, ids): ``at`` is the row's first sequence in its part."""
 
-    def run(batches):
+    def emit(groups):
         part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            ids = batch.column(1)
-            bounds = np.array(ids.offsets).astype(np.int64)
-            flat = np.array(ids.values)[bounds[0] : bounds[-1]].astype(kind)
-            bounds -= bounds[0]
-            own = -(-np.diff(bounds) // length)
-            first = at + np.concatenate([[0], np.cumsum(own)[:-1]]).astype(np.int64)
+        for docs, ids in groups:
+            sizes = np.array([len(x) for x in ids], np.int64)
+            own = -(-sizes // length)
+            first = at + np.cumsum(own) - own
             at += int(own.sum())
-            size = flat.dtype.itemsize
-            offsets = pa.array(bounds * size, pa.int64())
-            body = pa.Array.from_buffers(pa.large_binary(), len(own), [None, offsets.buffers()[1], pa.py_buffer(flat.tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), part, np.int32)), pa.array(first), pa.array(own.astype(np.int64)), batch.column(0), body], names=["part", "at", "sequences", "doc_id", "ids"])
+            body = pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), part, np.int32)), pa.array(first), pa.array(own), pa.array(docs, pa.int64()), body], names=["part", "at", "sequences", "doc_id", "ids"])
 
-    table = tokens.mapInArrow(run, "part int, at long, sequences long, doc_id long, ids binary").where("sequences > 0")
-    return staged(table, "op3-ids")
+    table = op6_bpe.encoded(docs, rank_file, pattern, emit, "part int, at long, sequences long, doc_id long, ids binary", checked=False)
+    return staged(table.where("sequences > 0"), "op3-ids")
 
 
-def training_order(
-    docs: DataFrame, out: str, rank_file: str, pattern: str, *, key: int = 3, length: int = LENGTH, per_shard: int = PER_SHARD
-) -> DataFrame:
-    """Write the shards and the manifest under the URI ``out``; one row per sequence: where it is and what it holds."""
-    spark = session(docs.sparkSession)
-    kind = "<u2" if op6_bpe.encoder(rank_file, pattern).n_vocab <= 1 << 16 else "<u4"
+def ranged(docs: DataFrame, rank_file: str, pattern: str, key: int, length: int, per_shard: int, kind: str) -> tuple[DataFrame, int]:
+    """The sequences by slot as a written table of one file a range of whole shards, and their number."""
+    spark = docs.sparkSession
     with passing(spark):
-        rows = numbered(op6_bpe.token_ids(docs, rank_file, pattern, checked=False), length, kind)
+        rows = numbered(docs, rank_file, pattern, length, kind)
     # One narrow row a part; parts are the input's partitions, in the order of their numbers.
     totals = rows.groupBy("part").agg(F.sum("sequences").alias("total"))
     before = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -122,9 +118,6 @@ def training_order(
                 body = pa.array([raw[a:b].tobytes() for a, b in zip(start[one].tolist(), stop[one].tolist(), strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(slot[one]), batch.column(2).take(pa.array(row[one])), pa.array(seq[one].astype(np.int32)), body], names=["slot", "doc_id", "seq", "tokens"])
 
-    def write(batches):
-        yield from _write_shards(batches, out, length, per_shard, width)
-
     shards = -(-n // per_shard)
     tasks = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     placed = rows.join(F.broadcast(parts), "part") if parts.count() <= 1_000_000 else rows.join(parts, "part")
@@ -132,12 +125,49 @@ def training_order(
     sequences = placed.mapInArrow(cut, "slot long, doc_id long, seq int, tokens binary")
     # Ranges of whole shards: task t takes the shards from t * shards / tasks on.
     shard = F.call_function("div", F.col("slot"), F.lit(per_shard))
-    ranged = sequences.repartitionById(tasks, F.call_function("div", shard * tasks, F.lit(max(shards, 1))).cast("int")).sortWithinPartitions("slot")
-    index = staged(ranged.mapInArrow(write, "slot long, shard int, byte_offset long, doc_id long, seq int, n_tokens int, record_crc32 long"), "op3-index")
+    ranges = sequences.repartitionById(tasks, F.call_function("div", shard * tasks, F.lit(max(shards, 1))).cast("int")).sortWithinPartitions("slot")
+    return staged(ranges, "op3-ranges"), n
+
+
+def training_order(
+    docs: DataFrame, out: str, rank_file: str, pattern: str, *, key: int = 3, length: int = LENGTH, per_shard: int = PER_SHARD
+) -> DataFrame:
+    """Write the shards and the manifest under the URI ``out``; one row per sequence: where it is and what it holds."""
+    spark = session(docs.sparkSession)
+    kind = "<u2" if op6_bpe.encoder(rank_file, pattern).n_vocab <= 1 << 16 else "<u4"
+    width = np.dtype(kind).itemsize
+    with passing(spark):
+        ranges, n = ranged(docs, rank_file, pattern, key, length, per_shard, kind)
+
+    def write(batches):
+        yield from _write_shards(batches, out, length, per_shard, width)
+
+    with _whole_files(spark):
+        index = staged(ranges.mapInArrow(write, "slot long, shard int, byte_offset long, doc_id long, seq int, n_tokens int, record_crc32 long"), "op3-index")
+    shards = -(-n // per_shard)
+    # A shard whose slots came in two tasks would be one task's part only.
+    full = F.when(F.col("shard") == shards - 1, n - (shards - 1) * per_shard).otherwise(per_shard)
+    sums = index.groupBy("shard").agg(F.count("*").alias("rows"), F.max("byte_offset").alias("last"))
+    if sums.where((F.col("rows") != full) | (F.col("last") != (full - 1) * (2 + length * width))).limit(1).count() or index.count() != n:
+        raise ValueError("a range was not read as one task's rows")
     _write_text(spark, posixpath.join(out, MANIFEST), json.dumps({"sequences": n, "length": length, "per_shard": per_shard, "shards": shards, "key": key, "id_bytes": width}))
     return index
 
 
+@contextmanager
+def _whole_files(spark: SparkSession) -> Iterator[None]:
+    """Inside, a scan's tasks are files: none is cut, and none shares a task."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    held = [(name, spark.conf.get(name)) for name in names]
+    try:
+        for name in names:
+            spark.conf.set(name, str(1 << 50))
+        yield
+    finally:
+        for name, value in held:
+            spark.conf.set(name, value)
+
+
 def _write_text(spark: SparkSession, uri: str, text: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
     stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)

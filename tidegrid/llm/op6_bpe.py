@@ -257,8 +257,8 @@ def _lists(docs: list, ids: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.ListArray.from_arrays(bounds, flat)], names=["doc_id", "ids"])
 
 
-def token_ids(docs: DataFrame, rank_file: str, pattern: str, *, checked: bool = True, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """``docs`` (doc_id, text) to (doc_id, ids array<int>); where ``checked``, ids that do not decode to their text's bytes fail the job."""
+def encoded(docs: DataFrame, rank_file: str, pattern: str, emit, schema: str, *, checked: bool = True, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """What ``emit`` makes of each task's stream of (doc_ids, ids of each), as rows of ``schema``; where ``checked``, ids that do not decode to their text's bytes fail the job."""
 
     def short(batches):
         enc = encoder(rank_file, pattern)
@@ -270,7 +270,7 @@ def token_ids(docs: DataFrame, rank_file: str, pattern: str, *, checked: bool =
                     ids.append(ids_of(text or "", enc))
                     if checked and decode_bytes(ids[-1].tolist(), enc) != (text or "").encode():
                         raise ValueError("ids do not decode to their text")
-                yield _lists(part.column(0).to_pylist(), ids)
+                yield part.column(0).to_pylist(), ids
 
     def long(batches):
         enc = encoder(rank_file, pattern)
@@ -280,11 +280,21 @@ def token_ids(docs: DataFrame, rank_file: str, pattern: str, *, checked: bool =
                 for x in ids:
                     if not np.array_equal(ids_of(decode_bytes(x.tolist(), enc).decode(), enc), x):
                         raise ValueError("ids do not decode to their text")
-            yield _lists([doc], [np.concatenate(ids)])
+            yield [doc], [np.concatenate(ids)]
 
     typed = _typed(docs)
-    whole = _in_order(encoded_pieces(typed, rank_file, pattern, chunk, overlap)).mapInArrow(long, "doc_id long, ids array<int>")
-    return _short(typed, chunk).mapInArrow(short, "doc_id long, ids array<int>").unionByName(whole)
+    whole = _in_order(encoded_pieces(typed, rank_file, pattern, chunk, overlap)).mapInArrow(lambda batches: emit(long(batches)), schema)
+    return _short(typed, chunk).mapInArrow(lambda batches: emit(short(batches)), schema).unionByName(whole)
+
+
+def token_ids(docs: DataFrame, rank_file: str, pattern: str, *, checked: bool = True, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """``docs`` (doc_id, text) to (doc_id, ids array<int>); see ``encoded``."""
+
+    def emit(groups):
+        for rows, ids in groups:
+            yield _lists(rows, ids)
+
+    return encoded(docs, rank_file, pattern, emit, "doc_id long, ids array<int>", checked=checked, chunk=chunk, overlap=overlap)
 
 
 def encode_digest(docs: DataFrame, rank_file: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:

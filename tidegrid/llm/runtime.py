@@ -90,7 +90,7 @@ def passing(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _PASSING.remove(held)
+        _PASSING[:] = [other for other in _PASSING if other is not held]
         for name in held[:-1]:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
