@@ -33,18 +33,18 @@ import posixpath
 import uuid
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm import kernels as K
 from tidegrid.llm import op6_bpe
-from tidegrid.llm.runtime import passing, session, staged
+from tidegrid.llm.runtime import BATCH_ROWS, passing, session, staged
 
 LENGTH = 512
 PER_SHARD = 16_384
@@ -139,33 +139,35 @@ def training_order(
     with passing(spark):
         ranges, n = ranged(docs, rank_file, pattern, key, length, per_shard, kind)
 
+    files = sorted(_uri(name) for name in ranges.inputFiles())
+
     def write(batches):
-        yield from _write_shards(batches, out, length, per_shard, width)
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                yield from _write_shards(_rows_of(files[k]), out, length, per_shard, width)
 
-    with _whole_files(spark):
-        index = staged(ranges.mapInArrow(write, "slot long, shard int, byte_offset long, doc_id long, seq int, n_tokens int, record_crc32 long"), "op3-index")
+    # One task a range, which reads its file from end to end: a scan would cut large files and put small ones together.
+    tasks = spark.range(0, len(files), 1, max(1, len(files)))
+    index = staged(tasks.mapInArrow(write, "slot long, shard int, byte_offset long, doc_id long, seq int, n_tokens int, record_crc32 long"), "op3-index")
     shards = -(-n // per_shard)
-    # A shard whose slots came in two tasks would be one task's part only.
+    # A shard that is not whole must not be named by a manifest.
     full = F.when(F.col("shard") == shards - 1, n - (shards - 1) * per_shard).otherwise(per_shard)
     sums = index.groupBy("shard").agg(F.count("*").alias("rows"), F.max("byte_offset").alias("last"))
     if sums.where((F.col("rows") != full) | (F.col("last") != (full - 1) * (2 + length * width))).limit(1).count() or index.count() != n:
-        raise ValueError("a range was not read as one task's rows")
+        raise ValueError("shards are not whole")
     _write_text(spark, posixpath.join(out, MANIFEST), json.dumps({"sequences": n, "length": length, "per_shard": per_shard, "shards": shards, "key": key, "id_bytes": width}))
     return index
 
 
-@contextmanager
-def _whole_files(spark: SparkSession) -> Iterator[None]:
-    """Inside, a scan's tasks are files: none is cut, and none shares a task."""
-    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    held = [(name, spark.conf.get(name)) for name in names]
-    try:
-        for name in names:
-            spark.conf.set(name, str(1 << 50))
-        yield
-    finally:
-        for name, value in held:
-            spark.conf.set(name, value)
+def _uri(name: str) -> str:
+    return "file://" + name.removeprefix("file:") if name.startswith("file:/") and not name.startswith("file://") else name
+
+
+def _rows_of(uri: str) -> Iterator[pa.RecordBatch]:
+    """A Parquet file's rows in order."""
+    fs, path = pafs.FileSystem.from_uri(uri)
+    with fs.open_input_file(path) as f:
+        yield from pq.ParquetFile(f).iter_batches(BATCH_ROWS)
 
 
 def _write_text(spark: SparkSession, uri: str, text: str) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -94,7 +95,7 @@ def passing(spark: SparkSession) -> Iterator[None]:
         for name in held[:-1]:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        release(spark)
+        release(spark, passes=4)
 
 
 def skewed_join(left: DataFrame, right: DataFrame, on: list[str], weight: str, most: int = 10_000) -> DataFrame:
@@ -112,10 +113,17 @@ def skewed_join(left: DataFrame, right: DataFrame, on: list[str], weight: str, m
     return held.where("is_heavy").select(*left.columns, *extra).unionByName(light.select(*left.columns, *extra))
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of frames that are no longer referenced."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def release(spark: SparkSession, passes: int = 1, pause: float = 1.0) -> None:
+    """Let Spark's cleaner drop the shuffle files of frames that are no longer referenced.
+
+    An ended query is held by its last events until all listeners have had
+    them, so one collection right after it may find nothing to drop.
+    """
+    for k in range(passes):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        if k + 1 < passes:
+            time.sleep(pause)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
